@@ -1,0 +1,60 @@
+"""What one payload must become, said with Python's own ``json`` and ``float``."""
+
+import json
+import math
+
+LIMITS = {"symbol": 10, "company": 100, "market": 50}
+FIELDS = ("symbol", "company", "market")
+
+
+def as_text(value):
+    if value is None or isinstance(value, str):
+        return value
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    return repr(value)
+
+
+def outcome(payload):
+    """``(symbol, price, company, market)`` or the reason for a rejection."""
+    if payload is None:
+        return "malformed"
+    try:
+        message = json.loads(bytes(payload).decode("utf-8"))
+    except (UnicodeDecodeError, ValueError):
+        return "malformed"
+    if not isinstance(message, dict):
+        return "not_object"
+    for key in ("symbol", "price"):
+        if key not in message:
+            return f"missing_{key}"
+    try:
+        price = float(message["price"])
+    except (TypeError, ValueError, OverflowError):
+        return "bad_price"
+    row = {
+        "symbol": message["symbol"],
+        "company": message["company"] if "company" in message else message["symbol"],
+        "market": message["market"] if "market" in message else "UNKNOWN",
+    }
+    for name in FIELDS:
+        sent = message.get(name)
+        if isinstance(sent, (dict, list)) or (isinstance(sent, str) and "\x00" in sent):
+            return f"bad_{name}"
+    if row["symbol"] is None:
+        return "null_symbol"
+    for name in FIELDS:
+        text = as_text(row[name])
+        if text is not None and len(text.rstrip(" ")) > LIMITS[name]:
+            return f"too_long_{name}"
+        row[name] = text if text is None else text[: LIMITS[name]]
+    return (row["symbol"], price, row["company"], row["market"])
+
+
+def same(got, expected):
+    if isinstance(got, str) or isinstance(expected, str):
+        return got == expected
+    return all(
+        a == b or (isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b))
+        for a, b in zip(got, expected, strict=True)
+    )
