@@ -85,30 +85,19 @@ def _foreign_infinity(text: Column) -> Column:
 def decode_ticks(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``symbol, price, company, market`` and ``reason`` (NULL for a readable tick).
 
-    One JSON parse settles a clean message, in which all four fields are there, the
-    price is a finite number and no field is nested. Only other messages are
-    parsed again: as text, for the keys that are present, and for the kind of value.
+    One JSON parse settles a clean message: a flat object whose only closing brace is
+    its last character, with all four fields and a finite number for a price. Only
+    other messages are parsed again: as text, for the keys that are present, and for
+    the kind of value.
     """
     text, seal, intact, clean = (F.col(c) for c in ("_text", "_seal", "_intact", "_clean"))
     typed, loose, keys = F.col("_typed"), F.col("_loose"), F.col("_keys")
 
     staged = (
         df.withColumn("_text", F.try_validate_utf8(F.col(value).cast("string")))
-        .withColumn("_seal", F.xxhash64("_text").cast("string"))
-        .withColumn("_typed", _parse(_sealed(text, seal), _TYPED))
-        .withColumn("_typed", F.when(_intact(typed, seal), _first(typed)))
-        .withColumn(
-            "_clean",
-            F.coalesce(
-                (F.abs(typed.getField("price")) < F.lit(float("inf")))
-                & typed.getField("symbol").isNotNull()
-                & ~_maybe_odd(typed)
-                & typed.getField("company").isNotNull()
-                & typed.getField("market").isNotNull()
-                & ~_foreign_infinity(text),
-                F.lit(False),
-            ),
-        )
+        .withColumn("_typed", F.when(F.locate("}", text) == F.char_length(text), F.from_json(text, _TYPED, _STRICT)))
+        .withColumn("_clean", _is_clean(typed, text))
+        .withColumn("_seal", F.when(~clean, F.xxhash64("_text").cast("string")))
         .withColumn("_loose", F.when(~clean, _parse(_sealed(text, seal), _TEXT)))
         .withColumn("_intact", _intact(loose, seal) & ~_foreign_infinity(text))
         .withColumn("_loose", F.when(intact, _first(loose)))
@@ -122,45 +111,44 @@ def decode_ticks(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
     has = {f: F.array_contains(keys, f) for f in _FIELDS}
-    is_value = F.when(~clean & ~intact, _is_json_value(text, seal) & ~_foreign_infinity(text))
-    price = F.when(clean, typed.getField("price")).otherwise(_price_of(loose.getField("price"), text, seal))
+    price = _price_of(loose.getField("price"), text, seal)
 
     def field(name: str, default: Column | None = None) -> Column:
         read = loose.getField(name)
-        return F.when(clean, typed.getField(name)).otherwise(
-            read if default is None else F.when(has[name], read).otherwise(default)
-        )
+        return read if default is None else F.when(has[name], read).otherwise(default)
 
     reason = (
-        F.when(clean, F.lit(None).cast("string"))
-        .when(intact & loose.isNull(), "not_object")
-        .when(~intact, F.when(is_value, "not_object").otherwise("malformed"))
+        F.when(intact & loose.isNull(), "not_object")
+        .when(~intact, F.when(_is_json_value(text, seal) & ~_foreign_infinity(text), "not_object").otherwise("malformed"))
         .when(~has["symbol"], "missing_symbol")
         .when(~has["price"], "missing_price")
-        .when(F.col("price").isNull(), "bad_price")
+        .when(price.isNull(), "bad_price")
     )
     for name in _NESTED:
         reason = reason.when(_unstorable(loose, name, text, seal), f"bad_{name}")
-    reason = reason.when(F.col("symbol").isNull(), "null_symbol")
+    reason = reason.when(loose.getField("symbol").isNull(), "null_symbol")
 
-    kept = [F.col(c) for c in df.columns if c not in {*_FIELDS, "reason"}]
-    working = [F.col(c) for c in ("_text", "_seal", "_clean", "_intact", "_loose", "_keys")]
-    return staged.select(
-        *kept,
-        *working,
-        field("symbol").alias("symbol"),
+    clean_tick = F.struct(*(typed.getField(f).alias(f) for f in _FIELDS), F.lit(None).cast("string").alias("reason"))
+    other_tick = F.struct(
         price.alias("price"),
+        field("symbol").alias("symbol"),
         field("company", loose.getField("symbol")).alias("company"),
         field("market", F.lit(DEFAULT_MARKET)).alias("market"),
-    ).select(*kept, *_FIELDS, reason.alias("reason"))
+        reason.alias("reason"),
+    )
+    kept = [c for c in df.columns if c not in {*_FIELDS, "reason"}]
+    # A filter on the result must not be pushed below the parse, where it would repeat
+    # the parse for each column it reads; no filter passes a generator's own columns.
+    return staged.select(*kept, F.inline(F.array(F.when(clean, clean_tick).otherwise(other_tick))))
 
 
-def _maybe_odd(tick: Column) -> Column:
-    """A field that may stand for a nested value, or holds a character no text column takes."""
-    odd = F.lit(False)
+def _is_clean(typed: Column, text: Column) -> Column:
+    clean = (F.abs(typed.getField("price")) < F.lit(float("inf"))) & ~_foreign_infinity(text)
     for name in _NESTED:
-        odd = odd | tick.getField(name).rlike(r"^[{\[]|\x00")
-    return odd
+        read = typed.getField(name)
+        # A leading bracket may stand for a nested value; no text column takes a NUL.
+        clean = clean & ~(read.startswith("{") | read.startswith("[") | read.contains("\x00"))
+    return F.coalesce(clean, F.lit(False))
 
 
 def _is_json_value(text: Column, seal: Column) -> Column:
