@@ -115,7 +115,7 @@ def decode_ticks(df: DataFrame, value: str = "value") -> DataFrame:
 
     def field(name: str, default: Column | None = None) -> Column:
         read = loose.getField(name)
-        return read if default is None else F.when(has[name], read).otherwise(default)
+        return read if default is None else F.when(has[name], read).when(~has[name], default)
 
     reason = (
         F.when(intact & loose.isNull(), "not_object")
