@@ -1,0 +1,65 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tickwell.functions.codec import encode_tick
+from tickwell.operators.validate import accepted, judge, reject_report, rejected
+from tickwell.plans.ingest import counted
+
+LEGACY = '{"Price":1.5,"Name":"AMZN","Timestamp":1700000000123}'
+
+
+def payloads(spark, *values):
+    return spark.createDataFrame([(i, bytearray(v.encode())) for i, v in enumerate(values)], "i INT, value BINARY")
+
+
+def test_legacy_is_rejected_unless_let_in(spark):
+    df = payloads(spark, LEGACY, '{"Price":1.5,"Name":"AMZN","symbol":"B","price":2}', '{"Price":"x","Name":"AMZN"}')
+    assert [r.reason for r in judge(df).orderBy("i").collect()] == ["missing_symbol", None, "missing_symbol"]
+    taken = judge(df, legacy=True).orderBy("i").collect()
+    assert (taken[0].symbol, taken[0].price, taken[0].company, taken[0].market) == ("AMZN", 1.5, "AMZN", "UNKNOWN")
+    assert str(taken[0].event_time) == "2023-11-14 22:13:20.123000"
+    assert (taken[1].symbol, taken[1].event_time) == ("B", None)
+    assert taken[2].reason == "missing_symbol"
+
+
+def test_malformed_may_stop_the_job(spark):
+    good = payloads(spark, '{"price":1,"symbol":"A"}', "[1]")
+    assert judge(good, on_malformed="fail").count() == 2
+    with pytest.raises(PySparkException, match="not JSON"):
+        judge(payloads(spark, '{"price":1,"symbol":"A"}', "{bad"), on_malformed="fail").collect()
+    with pytest.raises(ValueError):
+        judge(good, on_malformed="ignore")
+
+
+def test_every_record_is_accepted_or_rejected(spark):
+    judged = judge(payloads(spark, '{"price":1,"symbol":"A"}', "[1]", "{bad", '{"price":null,"symbol":"A"}', "{}"))
+    assert accepted(judged).count() == 1
+    assert rejected(judged).count() == 4
+    assert {r.reason: r.n for r in reject_report(judged).collect()} == {
+        "not_object": 1, "malformed": 1, "bad_price": 1, "missing_symbol": 1,
+    }
+
+
+def test_counts_are_observed(spark):
+    judged = counted(judge(payloads(spark, '{"price":1,"symbol":"A"}', "[1]")), "seen")
+    assert "CollectMetrics seen" in judged._jdf.queryExecution().toString()
+    assert judged.count() == 2
+
+
+def test_null_fields_keep_their_keys(spark):
+    df = spark.range(1).select(encode_tick(F.lit(None).cast("double"), F.lit("A"), F.lit(None).cast("string")).alias("v"))
+    assert df.first().v == '{"price":null,"symbol":"A","company":null,"market":"NASDAQ"}'
+
+
+def test_non_finite_prices_round_trip(spark):
+    df = spark.sql("SELECT CAST(x AS DOUBLE) AS x FROM VALUES ('NaN'), ('Infinity'), ('-Infinity'), ('1.5') AS t(x)")
+    sent = df.select("x", encode_tick(F.col("x"), F.lit("A")).cast("binary").alias("value"))
+    assert all(str(r.x) == str(r.price) and r.reason is None for r in judge(sent).collect())
+
+
+def test_filter_on_reason_does_not_repeat_the_parse(spark):
+    plan = accepted(judge(payloads(spark, "{}")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate inline") == 1
+    below = plan.split("Generate inline")[1]
+    assert "Filter" not in below

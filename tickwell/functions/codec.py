@@ -4,6 +4,8 @@ Decoding is as strict as Python's ``json.loads``, and keeps apart what a plain
 ``from_json`` merges: a key that is absent and a key whose value is null.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,25 +55,34 @@ def from_epoch_millis(millis: Column) -> Column:
 # --- decode ---------------------------------------------------------------
 
 
-def _sealed(text: Column, seal: Column) -> Column:
-    """The payload in an array, followed by a seal that is lost if the payload is not one whole JSON value.
+def decode_ticks(df: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``symbol, price, company, market`` and ``reason`` (NULL for a readable tick).
 
-    Jackson stops at the bracket that closes the array, so text behind the value
-    would go unseen; the seal depends on the payload, so no payload carries it by chance.
+    One JSON parse settles a clean message: a flat object whose only closing brace is
+    its last character, with all four fields and a finite number for a price. Only
+    other messages are parsed again: as text, for the keys that are present, and for
+    the kind of value.
     """
-    return F.concat(F.lit("["), text, F.lit(',{"seal":"'), seal, F.lit('"}]'))
-
-
-def _parse(text: Column, fields: str) -> Column:
-    return F.from_json(text, f"array<struct<{fields}, seal STRING>>", _STRICT)
-
-
-def _intact(doc: Column, seal: Column) -> Column:
-    return F.coalesce((F.size(doc) == 2) & (F.get(doc, F.lit(1)).getField("seal") == seal), F.lit(False))
+    text, typed = F.col("_text"), F.col("_typed")
+    clean_tick = F.struct(*(typed.getField(f).alias(f) for f in _FIELDS), F.lit(None).cast("string").alias("reason"))
+    kept = [c for c in df.columns if c not in {*_FIELDS, "reason"}]
+    return (
+        df.withColumn("_text", F.try_validate_utf8(F.col(value).cast("string")))
+        .withColumn("_typed", F.when(F.locate("}", text) == F.char_length(text), F.from_json(text, _TYPED, _STRICT)))
+        .withColumn("_tick", F.when(_is_clean(typed, text), clean_tick).otherwise(_other_tick(text)))
+        # A filter on the result must not be pushed below the parse, where it would repeat
+        # the parse for each column it reads; no filter passes a generator's own columns.
+        .select(*kept, F.inline(F.array("_tick")))
+    )
 
 
-def _first(doc: Column) -> Column:
-    return F.get(doc, F.lit(0))
+def _is_clean(typed: Column, text: Column) -> Column:
+    clean = F.abs(typed.getField("price")) < F.lit(float("inf"))
+    for name in _NESTED:
+        read = typed.getField(name)
+        # A leading bracket may stand for a nested value; no text column takes a NUL.
+        clean = clean & ~(read.startswith("{") | read.startswith("[") | read.contains("\x00"))
+    return F.coalesce(clean & ~_foreign_infinity(text), F.lit(False))
 
 
 def _foreign_infinity(text: Column) -> Column:
@@ -82,105 +93,117 @@ def _foreign_infinity(text: Column) -> Column:
     ).otherwise(F.lit(False))
 
 
-def decode_ticks(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``symbol, price, company, market`` and ``reason`` (NULL for a readable tick).
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, and only where the whole expression is."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
-    One JSON parse settles a clean message: a flat object whose only closing brace is
-    its last character, with all four fields and a finite number for a price. Only
-    other messages are parsed again: as text, for the keys that are present, and for
-    the kind of value.
+
+class _Payload:
+    """A payload as JSON, read in several ways.
+
+    It is parsed in an array with a seal behind it: Jackson stops at the bracket that
+    closes the array, so text behind the value would go unseen, but takes the seal
+    with it. The seal depends on the payload, so no payload carries it by chance.
     """
-    text, seal, intact, clean = (F.col(c) for c in ("_text", "_seal", "_intact", "_clean"))
-    typed, loose, keys = F.col("_typed"), F.col("_loose"), F.col("_keys")
 
-    staged = (
-        df.withColumn("_text", F.try_validate_utf8(F.col(value).cast("string")))
-        .withColumn("_typed", F.when(F.locate("}", text) == F.char_length(text), F.from_json(text, _TYPED, _STRICT)))
-        .withColumn("_clean", _is_clean(typed, text))
-        .withColumn("_seal", F.when(~clean, F.xxhash64("_text").cast("string")))
-        .withColumn("_loose", F.when(~clean, _parse(_sealed(text, seal), _TEXT)))
-        .withColumn("_intact", _intact(loose, seal) & ~_foreign_infinity(text))
-        .withColumn("_loose", F.when(intact, _first(loose)))
-        .withColumn(
-            "_keys",
-            F.when(
-                loose.isNotNull(),
-                F.map_keys(_first(F.from_json(_sealed(text, seal), "array<map<string,string>>", _STRICT))),
-            ),
+    def __init__(self, text: Column, seal: Column) -> None:
+        self.text, self.seal = text, seal
+        self.foreign = _foreign_infinity(text)
+
+    def _array(self, seal: Column) -> Column:
+        return F.concat(F.lit("["), self.text, F.lit(","), seal, F.lit("]"))
+
+    def _sealed(self) -> Column:
+        return self._array(F.concat(F.lit('{"seal":"'), self.seal, F.lit('"}')))
+
+    def parse(self, fields: str) -> Column:
+        return F.from_json(self._sealed(), f"array<struct<{fields}, seal STRING>>", _STRICT)
+
+    def is_object(self, parsed: Column) -> Column:
+        """Whether ``parsed`` is a whole payload that is an object or null."""
+        sealed = (F.size(parsed) == 2) & (F.get(parsed, F.lit(1)).getField("seal") == self.seal)
+        return F.coalesce(sealed, F.lit(False)) & ~self.foreign
+
+    def is_json(self) -> Column:
+        texts = F.from_json(self._array(F.concat(F.lit('"'), self.seal, F.lit('"'))), "array<string>", _STRICT)
+        return _let(
+            texts, lambda t: F.coalesce((F.size(t) == 2) & (F.get(t, F.lit(1)) == self.seal), F.lit(False)) & ~self.foreign
         )
-    )
 
-    has = {f: F.array_contains(keys, f) for f in _FIELDS}
-    price = _price_of(loose.getField("price"), text, seal)
+    def keys(self) -> Column:
+        return F.map_keys(F.get(F.from_json(self._sealed(), "array<map<string,string>>", _STRICT), F.lit(0)))
 
-    def field(name: str, default: Column | None = None) -> Column:
-        read = loose.getField(name)
-        return read if default is None else F.when(has[name], read).when(~has[name], default)
+    def field(self, name: str, kind: str) -> Column:
+        """One field as ``kind``; NULL if its JSON value is of another kind."""
+        return F.get(self.parse(f"{name} {kind}"), F.lit(0)).getField(name)
 
-    reason = (
-        F.when(intact & loose.isNull(), "not_object")
-        .when(~intact, F.when(_is_json_value(text, seal) & ~_foreign_infinity(text), "not_object").otherwise("malformed"))
-        .when(~has["symbol"], "missing_symbol")
-        .when(~has["price"], "missing_price")
-        .when(price.isNull(), "bad_price")
-    )
-    for name in _NESTED:
-        reason = reason.when(_unstorable(loose, name, text, seal), f"bad_{name}")
-    reason = reason.when(loose.getField("symbol").isNull(), "null_symbol")
 
-    clean_tick = F.struct(*(typed.getField(f).alias(f) for f in _FIELDS), F.lit(None).cast("string").alias("reason"))
-    other_tick = F.struct(
-        price.alias("price"),
-        field("symbol").alias("symbol"),
-        field("company", loose.getField("symbol")).alias("company"),
-        field("market", F.lit(DEFAULT_MARKET)).alias("market"),
-        reason.alias("reason"),
-    )
-    kept = [c for c in df.columns if c not in {*_FIELDS, "reason"}]
-    # A filter on the result must not be pushed below the parse, where it would repeat
-    # the parse for each column it reads; no filter passes a generator's own columns.
-    return staged.select(*kept, F.inline(F.array(F.when(clean, clean_tick).otherwise(other_tick))))
+def _other_tick(text: Column) -> Column:
+    def read(seal: Column) -> Column:
+        payload = _Payload(text, seal)
+        return _let(payload.parse(_TEXT), lambda parsed: judge(payload, parsed))
 
+    def judge(payload: _Payload, parsed: Column) -> Column:
+        # A text that is NULL, not being UTF-8, is no JSON either.
+        stray = F.when(payload.is_json(), "not_object").otherwise("malformed")
+        loose = F.get(parsed, F.lit(0))
+        return (
+            F.when(~payload.is_object(parsed), _reject(stray))
+            .when(loose.isNull(), _reject(F.lit("not_object")))
+            .otherwise(_let(payload.keys(), lambda keys: from_object(payload, loose, keys)))
+        )
 
-def _is_clean(typed: Column, text: Column) -> Column:
-    clean = (F.abs(typed.getField("price")) < F.lit(float("inf"))) & ~_foreign_infinity(text)
-    for name in _NESTED:
-        read = typed.getField(name)
-        # A leading bracket may stand for a nested value; no text column takes a NUL.
-        clean = clean & ~(read.startswith("{") | read.startswith("[") | read.contains("\x00"))
-    return F.coalesce(clean, F.lit(False))
+    def from_object(payload: _Payload, loose: Column, keys: Column) -> Column:
+        return _let(_price_of(payload, loose.getField("price")), lambda price: _tick_of(payload, loose, keys, price))
 
+    return _let(F.xxhash64(text).cast("string"), read)
 
-def _is_json_value(text: Column, seal: Column) -> Column:
-    wrapped = F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]'))
-    parsed = F.from_json(wrapped, "array<string>", _STRICT)
-    return F.coalesce((F.size(parsed) == 2) & (F.get(parsed, F.lit(1)) == seal), F.lit(False))
 
+def _reject(reason: Column) -> Column:
+    nothing = F.lit(None).cast("string")
+    return F.struct(
+        nothing.cast("double").alias("price"), *(nothing.alias(n) for n in _NESTED), reason.alias("reason")
+    )
 
-def _retyped(name: str, kind: str, text: Column, seal: Column) -> Column:
-    """One field read again as ``kind``; NULL if its JSON value is of another kind."""
-    return _first(_parse(_sealed(text, seal), f"{name} {kind}")).getField(name)
 
+def _tick_of(payload: _Payload, loose: Column, keys: Column, price: Column) -> Column:
+    def has(name: str) -> Column:
+        return F.array_contains(keys, name)
 
-def _price_of(read: Column, text: Column, seal: Column) -> Column:
+    symbol = loose.getField("symbol")
+    reason = (
+        F.when(~has("symbol"), "missing_symbol").when(~has("price"), "missing_price").when(price.isNull(), "bad_price")
+    )
+    for name in _NESTED:
+        reason = reason.when(_unstorable(payload, loose.getField(name), name), f"bad_{name}")
+    return F.struct(
+        price.alias("price"),
+        symbol.alias("symbol"),
+        F.when(has("company"), loose.getField("company")).otherwise(symbol).alias("company"),
+        F.when(has("market"), loose.getField("market")).otherwise(F.lit(DEFAULT_MARKET)).alias("market"),
+        reason.when(symbol.isNull(), "null_symbol").alias("reason"),
+    )
+
+
+def _price_of(payload: _Payload, read: Column) -> Column:
     """``float`` of the JSON value whose text is ``read``: booleans count, their names as strings do not."""
+
+    def within_range(number: Column) -> Column:
+        # An integer literal beyond the double range is an error, the same digits in a string are infinity.
+        beyond = read.rlike(r"^-?[0-9]{309,}$") & (F.abs(number) == F.lit(float("inf")))
+        return F.when(~F.coalesce(beyond & payload.field("price", "DOUBLE").isNotNull(), F.lit(False)), number)
+
     return (
-        F.when(read.isin("true", "false"), _retyped("price", "BOOLEAN", text, seal).cast("double"))
-        .when(read.isin('"NaN"', '"Infinity"', '"-Infinity"'), _retyped("price", "DOUBLE", text, seal))
-        .when(
-            # An integer literal beyond the double range is an error, the same digits in a string are infinity.
-            read.rlike(r"^-?[0-9]{309,}$") & _retyped("price", "DOUBLE", text, seal).isNotNull(),
-            F.when(F.abs(float_of(read)) < F.lit(float("inf")), float_of(read)),
-        )
-        .otherwise(float_of(read))
+        F.when(read.isin("true", "false"), payload.field("price", "BOOLEAN").cast("double"))
+        .when(read.isin('"NaN"', '"Infinity"', '"-Infinity"'), payload.field("price", "DOUBLE"))
+        .otherwise(_let(float_of(read), within_range))
     )
 
 
-def _unstorable(tick: Column, name: str, text: Column, seal: Column) -> Column:
-    read = tick.getField(name)
+def _unstorable(payload: _Payload, read: Column, name: str) -> Column:
     return (
-        F.when(read.startswith("{"), _retyped(name, "MAP<STRING,STRING>", text, seal).isNotNull())
-        .when(read.startswith("["), _retyped(name, "ARRAY<STRING>", text, seal).isNotNull())
+        F.when(read.startswith("{"), payload.field(name, "MAP<STRING,STRING>").isNotNull())
+        .when(read.startswith("["), payload.field(name, "ARRAY<STRING>").isNotNull())
         .otherwise(F.coalesce(read.contains("\x00"), F.lit(False)))
     )
 

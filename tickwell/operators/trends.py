@@ -69,17 +69,17 @@ def price_momentum(
 ) -> DataFrame:
     """Moving average over the last ``ticks`` prices, and change from the previous one (our reading of "trend").
 
-    Windows run per time slice of a symbol; the first rows of a slice take the rest of
+    Windows run per slice of a symbol; the first rows of a slice take the rest of
     their window from the slices before.
     """
     order = ["timestamp", *([tie] if tie else [])]
     columns = ["symbol", "price", *order]
-    sliced = time_sliced(prices.select(*columns), "symbol", "timestamp", slice_rows)
-    before = rows_before_slice(sliced, "symbol", order, "price", ticks - 1)
+    cut = time_sliced(prices.select(*columns), "symbol", "timestamp", slice_rows)
+    before = rows_before_slice(cut, "symbol", order, "price", ticks - 1)
 
     here = Window.partitionBy("symbol", "_slice").orderBy(*order)
     span = here.rowsBetween(-(ticks - 1), 0)
-    windowed = sliced.withColumns(
+    windowed = cut.withColumns(
         {
             "_at": F.row_number().over(here),
             "_sum": F.sum("price").over(span),

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 #: Rows a single slice may hold by default; some hundred MB of narrow rows.
 SLICE_ROWS = 1_000_000
 
-#: Large groups, and large hours, that ``time_sliced`` tells apart at most.
+#: Entries ``time_sliced`` has on a list at most.
 MOST_LARGE = 100_000
 
+#: How much finer than its rows call for a part is cut in which ticks crowd.
+CROWDED = 64
+
 _HOUR_MICROS = 3_600_000_000
-_HOUR_PARTS = 3600
 
 
 def ranked(
@@ -61,30 +63,44 @@ def ranked(
 def time_sliced(df: DataFrame, key: str, clock: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add ``_slice``: NULL for a small group, and for a large one a number that rises with ``clock``.
 
-    A group above ``slice_rows`` is cut by the hour, and an hour above it into equal
-    parts by its own row count. As a symbol has one price per microsecond, no part
-    exceeds the lesser of its hour's rows and its own length in microseconds.
+    A group above ``slice_rows`` is cut by the hour, an hour above it into as many
+    equal parts as its rows call for, and a part still above it, where ticks crowd,
+    once more and ``CROWDED`` times finer. As a symbol has one price per microsecond,
+    at most, no part is left with more than four times ``slice_rows``.
 
-    Each large group, and each large hour, holds more than ``slice_rows`` rows, which
-    is raised with the table so that there are no more than ``MOST_LARGE`` of them: the
-    two lists that are broadcast cannot outgrow that, whatever the data.
+    Each group, hour and part on a list holds more than ``slice_rows`` rows, which is
+    raised with the table so that no list has more than ``MOST_LARGE`` entries: what is
+    broadcast cannot outgrow that, whatever the data.
     """
     micros = F.unix_micros(F.col(clock).cast("timestamp"))
-    timed = df.withColumn("_hour", F.floor(micros / F.lit(_HOUR_MICROS)))
-    hours = timed.groupBy(key, "_hour").agg(F.count(F.lit(1)).alias("_n"))
-    least_large = hours.agg(F.greatest(F.lit(slice_rows), F.ceil(F.sum("_n") / F.lit(MOST_LARGE)))).scalar()
-    large_groups = (
-        hours.groupBy(key).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > least_large).select(key, F.lit(True).alias("_large"))
+    hourly = df.withColumns(
+        {"_slice": F.floor(micros / F.lit(_HOUR_MICROS)) * _HOUR_MICROS, "_width": F.lit(_HOUR_MICROS).cast("bigint")}
     )
-    large_hours = hours.filter(F.col("_n") > least_large).select(
-        key, "_hour", F.least(F.ceil(F.col("_n") / least_large), F.lit(_HOUR_PARTS)).alias("_parts")
+    hours = hourly.groupBy(key, "_slice", "_width").agg(F.count(F.lit(1)).alias("_n"))
+    enough = hours.agg(F.greatest(F.lit(slice_rows), F.ceil(F.sum("_n") / F.lit(MOST_LARGE)))).scalar()
+    groups = hours.groupBy(key).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > enough)
+
+    large_hours = _parts(hours, key, enough)
+    parts = _divided(hourly, key, micros, large_hours, "inner").groupBy(key, "_slice", "_width").agg(F.count(F.lit(1)).alias("_n"))
+    cut = _divided(_divided(hourly, key, micros, large_hours, "left"), key, micros, _parts(parts, key, enough, CROWDED), "left")
+    return cut.join(F.broadcast(groups.select(key, F.lit(True).alias("_large"))), key, "left").select(
+        *df.columns, F.when(F.col("_large"), F.col("_slice")).alias("_slice")
     )
-    into_hour = micros - F.col("_hour") * _HOUR_MICROS
-    part = F.floor(into_hour * F.coalesce("_parts", F.lit(1)) / F.lit(_HOUR_MICROS))
+
+
+def _parts(cells: DataFrame, key: str, enough: Column, finer: int = 1) -> DataFrame:
+    return cells.filter(F.col("_n") > enough).select(key, "_slice", F.ceil(F.col("_n") * finer / enough).alias("_parts"))
+
+
+def _divided(cells: DataFrame, key: str, micros: Column, large: DataFrame, how: str) -> DataFrame:
+    """Rows of the cells listed in ``large`` (bounded, see ``time_sliced``) moved to equal parts of their cell."""
+    columns = cells.columns
+    width = F.greatest(F.ceil(F.col("_width") / F.coalesce("_parts", F.lit(1))), F.lit(1))
     return (
-        timed.join(F.broadcast(large_groups), key, "left")
-        .join(F.broadcast(large_hours), [key, "_hour"], "left")
-        .select(*df.columns, F.when(F.col("_large"), F.col("_hour") * _HOUR_PARTS + part).alias("_slice"))
+        cells.join(F.broadcast(large), [key, "_slice"], how)
+        .withColumn("_width", width)
+        .withColumn("_slice", F.col("_slice") + F.floor((micros - F.col("_slice")) / F.col("_width")) * F.col("_width"))
+        .select(*columns)
     )
 
 
