@@ -65,8 +65,9 @@ def time_sliced(df: DataFrame, key: str, clock: str, slice_rows: int = SLICE_ROW
 
     A group above ``slice_rows`` is cut by the hour, an hour above it into as many
     equal parts as its rows call for, and a part still above it, where ticks crowd,
-    once more and ``CROWDED`` times finer. As a symbol has one price per microsecond,
-    at most, no part is left with more than four times ``slice_rows``.
+    once more and ``CROWDED`` times finer. As a symbol has one price per microsecond at
+    most, no part is then left with more rows than the cube root of an hour's
+    microseconds times ``slice_rows`` squared by ``CROWDED``: 4 million by default.
 
     Each group, hour and part on a list holds more than ``slice_rows`` rows, which is
     raised with the table so that no list has more than ``MOST_LARGE`` entries: what is
