@@ -5,7 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.operators.keys import already_stored, first_by_key, not_stored, repeats_by_key, stamp_arrivals
+from tickwell.operators.keys import first_by_key, not_stored, stamp_arrivals
 from tickwell.operators.validate import accepted, judge, rejected
 from tickwell.schema import LINEAGE, PRICE_COLUMNS, REJECT_COLUMNS
 
@@ -32,15 +32,12 @@ def settle_by_clock(judged: DataFrame, clock: str, history: DataFrame | None = N
     timed = judged.withColumn("reason", F.when(timeless, "null_timestamp").otherwise(F.col("reason"))).withColumn(
         "timestamp", F.col(clock).cast("timestamp_ntz")
     )
-    good = accepted(timed).select(*PRICE_COLUMNS, *LINEAGE, "value")
-    fresh = good if history is None else not_stored(good, history)
-    prices = first_by_key(fresh).select(*PRICE_COLUMNS, *LINEAGE)
-
-    repeated = repeats_by_key(fresh)
-    if history is not None:
-        repeated = repeated.unionByName(already_stored(good, history).select(*repeated.columns))
-    duplicates = repeated.withColumn("reason", F.lit("duplicate_key")).select(*REJECT_COLUMNS)
-    return Settled(prices, rejected(timed).select(*REJECT_COLUMNS).unionByName(duplicates))
+    good = accepted(timed).select(*PRICE_COLUMNS, *LINEAGE)
+    prices = first_by_key(good if history is None else not_stored(good, history))
+
+    # What is not stored is rejected: for its own reason, or as another record has its key.
+    left = timed.select(*REJECT_COLUMNS).join(prices.select(*LINEAGE), LINEAGE, "left_anti")
+    return Settled(prices, left.withColumn("reason", F.coalesce("reason", F.lit("duplicate_key"))))
 
 
 def ingest(records: DataFrame, clock: str, history: DataFrame | None = None, legacy: bool = False) -> Settled:

@@ -28,28 +28,27 @@ def append_prices(prices: DataFrame, name: str = TABLE) -> None:
 
 
 def write_history(prices: DataFrame, path: str, run_id: str, batch_id: int) -> None:
-    """Store one batch under its date, run and number. Writing it again replaces it."""
-    _write_batch(
-        prices.select(*PRICE_COLUMNS, *LINEAGE)
-        .withColumn("date", F.to_date("timestamp"))
-        .sortWithinPartitions("date", "symbol", "timestamp"),
-        path,
-        run_id,
-        batch_id,
-        ["date"],
-    )
+    """Store one batch under its date, run and number. Writing it again replaces it.
+
+    A day goes to one task, or to several if it is large, so that a batch over many
+    days leaves few files; these are sorted for reads of one symbol or time range.
+    """
+    dated = prices.select(*PRICE_COLUMNS, *LINEAGE, F.to_date("timestamp").alias("date"))
+    _write_batch(dated.hint("rebalance", "date"), path, run_id, batch_id, ["date"], ["symbol", "timestamp"])
 
 
 def write_rejects(rejects: DataFrame, path: str, run_id: str, batch_id: int) -> None:
-    _write_batch(rejects.select(*REJECT_COLUMNS), path, run_id, batch_id, [])
+    _write_batch(rejects.select(*REJECT_COLUMNS).hint("rebalance"), path, run_id, batch_id, [], [])
 
 
-def _write_batch(df: DataFrame, path: str, run_id: str, batch_id: int, lead: list[str]) -> None:
+def _write_batch(df: DataFrame, path: str, run_id: str, batch_id: int, lead: list[str], sort: list[str]) -> None:
+    folders = [*lead, "run_id", "batch_id"]
     (
         df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
+        .sortWithinPartitions(*folders, *sort)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*lead, "run_id", "batch_id")
+        .partitionBy(*folders)
         .parquet(path)
     )
 
