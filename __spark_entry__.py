@@ -40,8 +40,9 @@ def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select("event_id", mixed_payload().alias("value"))
 
 
-def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 6) for n in names})
+def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
+    """Enough digits to tell results apart, few enough to hide the order in which floats were added."""
+    return df.withColumns({n: F.round(n, digits) for n in names})
 
 
 # --- messages -------------------------------------------------------------
@@ -214,7 +215,7 @@ def price_series(spark, sf_dir):
 
 
 def price_trend(spark, sf_dir):
-    return _rounded(trends.price_trend(_ticks(spark, sf_dir), tie="event_id"), "avg_price")
+    return _rounded(trends.price_trend(_ticks(spark, sf_dir), tie="event_id"), "avg_price", digits=9)
 
 
 def tick_volume(spark, sf_dir):
@@ -314,7 +315,7 @@ def stream_trend(spark, sf_dir):
         .start()
     )
     query.awaitTermination()
-    return _rounded(spark.read.parquet(f"{folder}/trend"), "avg_price")
+    return _rounded(spark.read.parquet(f"{folder}/trend"), "avg_price", digits=9)
 
 
 def stream_poll(spark, sf_dir):
@@ -468,7 +469,7 @@ numbered AS (
 _TREND = """
   SELECT event_type AS symbol, date_trunc('hour', ts) AS bucket,
     arg_min(value, row(ts, event_id)) AS open, max(value) AS high, min(value) AS low,
-    arg_max(value, row(ts, event_id)) AS close, round(avg(value), 6) AS avg_price, count(*) AS n_ticks
+    arg_max(value, row(ts, event_id)) AS close, round(avg(value), 9) AS avg_price, count(*) AS n_ticks
   FROM events GROUP BY 1, 2
 """
 

@@ -33,7 +33,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return str(DATA / "sf0.01")
+    return str(DATA / os.environ.get("TICK_SF", "sf0.01"))
 
 
 @pytest.fixture
