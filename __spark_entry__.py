@@ -21,7 +21,7 @@ from tickwell.sources.table import read_history, read_rejects
 from tickwell.sources.topic import append_topic, follow_topic, read_topic, scan_topic
 from tickwell.streaming.ingest import start_ingest
 from tickwell.streaming.poll import start_poller
-from tickwell.streaming.rollup import trend_stream
+from tickwell.streaming.rollup import trend_stream, unique_stream
 
 ASOF = "2024-01-15 12:00:00"
 HOUR = 3600
@@ -318,6 +318,24 @@ def stream_trend(spark, sf_dir):
     return _rounded(spark.read.parquet(f"{folder}/trend"), "avg_price", digits=9)
 
 
+def stream_unique(spark, sf_dir):
+    """Which of an hour's ticks is kept follows arrival; that there is one each does not."""
+    folder = shared_folder(spark, "unique")
+    schema = _events(spark, sf_dir).schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    hourly = ticks_of(events).withColumn("timestamp", F.date_trunc("hour", "timestamp"))
+    query = (
+        unique_stream(hourly, "60 days")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{folder}/progress")
+        .option("path", f"{folder}/ticks")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/ticks").select("symbol", "timestamp")
+
+
 def stream_poll(spark, sf_dir):
     """One emission of every symbol's last price to a topic, read back."""
     folder = shared_folder(spark, "poll")
@@ -373,6 +391,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest_keyed": stream_ingest_keyed,
         "stream_rejects": stream_rejects,
         "stream_trend": stream_trend,
+        "stream_unique": stream_unique,
         "stream_poll": stream_poll,
     }
 
@@ -610,6 +629,7 @@ FROM judged WHERE reason IS NULL GROUP BY symbol
 WITH trend AS ({_TREND}), mark AS (SELECT max(ts) - INTERVAL 10 MINUTE AS closed FROM events)
 SELECT trend.* FROM trend, mark WHERE bucket + INTERVAL 1 HOUR <= closed
 """,
+        "stream_unique": "SELECT DISTINCT event_type AS symbol, date_trunc('hour', ts) AS timestamp FROM events",
         "stream_poll": """
 SELECT event_type AS symbol, value AS price, event_type AS company, 'NASDAQ' AS market FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) = 1

@@ -46,6 +46,9 @@ GOLDEN = [
     '{"price":1,"symbol":null}',
     '{"price":"abc","symbol":null}',
     '{"Price":1.5,"Name":"AMZN","Timestamp":1700000000123}',
+    r'{"price":1,"symbol":"A","\u0063ompany":null}', r'{"price":1,"symbol":"A","mark\u0065t":"X"}',
+    '{"price":1,"symbol":"company"}', '{"price":1,"symbol":"A","market":null}', '{"price":1,"symbol":"A","market":"X"}',
+    '{"price":1,"symbol":"A","x":"\\"company\\""}', '{"price":1,"symbol":"A","other":null}', '{"symbol":"A","price":1.5}',
     "[1]", '"x"', "5", "null", "true", "NaN", "[NaN]", "[1,2]", '[{"price":1,"symbol":"A"}]', "{bad", "", "   ", "nul",
     "{'price':1}", '{"price":1,}', '{"price":01,"symbol":"A"}', '{"price":1,"symbol":"A"} x',
     '{"price":1,"symbol":"A"}]', '{"price":1,"symbol":"A"}], x', '{"price":1,"symbol":"A"}],[',

@@ -10,6 +10,7 @@ from tickwell.sources.table import (
     append_prices,
     create_price_table,
     jdbc_options,
+    only_missing,
     read_history,
     write_history,
 )
@@ -58,6 +59,13 @@ def test_parameters(spark):
     assert sql.query(spark, text, t="some_prices", s="B' OR '1'='1").count() == 0
 
 
+def test_a_further_sink_gets_only_what_it_lacks(spark):
+    batch = prices(spark, ROW, ("A", 2.0, "2024-01-02 00:00:00", "A", "NASDAQ"))
+    assert [r.price for r in only_missing(batch, prices(spark, ROW)).collect()] == [2.0]
+    assert only_missing(batch, batch).count() == 0
+    assert only_missing(batch.limit(0), batch).count() == 0
+
+
 def test_jdbc_options():
     options = jdbc_options("jdbc:postgresql://db/stock_market", "u", "p")
     assert options["dbtable"] == "stock_prices" and options["batchsize"] == "10000"

@@ -59,29 +59,46 @@ def decode_ticks(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``symbol, price, company, market`` and ``reason`` (NULL for a readable tick).
 
     One JSON parse settles a clean message: a flat object whose only closing brace is
-    its last character, with all four fields and a finite number for a price. Only
-    other messages are parsed again: as text, for the keys that are present, and for
-    the kind of value.
+    its last character, with a symbol, a finite number for a price, and the other fields
+    given or clearly absent. Only other messages are parsed again: as text, for the keys
+    that are present, and for the kind of value.
     """
     text, typed = F.col("_text"), F.col("_typed")
-    clean_tick = F.struct(*(typed.getField(f).alias(f) for f in _FIELDS), F.lit(None).cast("string").alias("reason"))
     kept = [c for c in df.columns if c not in {*_FIELDS, "reason"}]
     return (
         df.withColumn("_text", F.try_validate_utf8(F.col(value).cast("string")))
         .withColumn("_typed", F.when(F.locate("}", text) == F.char_length(text), F.from_json(text, _TYPED, _STRICT)))
-        .withColumn("_tick", F.when(_is_clean(typed, text), clean_tick).otherwise(_other_tick(text)))
+        .withColumn("_tick", F.when(_is_clean(typed, text), _clean_tick(typed)).otherwise(_other_tick(text)))
         # A filter on the result must not be pushed below the parse, where it would repeat
         # the parse for each column it reads; no filter passes a generator's own columns.
         .select(*kept, F.inline(F.array("_tick")))
     )
 
 
+def _clean_tick(typed: Column) -> Column:
+    symbol = typed.getField("symbol")
+    return F.struct(
+        typed.getField("price").alias("price"),
+        symbol.alias("symbol"),
+        F.coalesce(typed.getField("company"), symbol).alias("company"),
+        F.coalesce(typed.getField("market"), F.lit(DEFAULT_MARKET)).alias("market"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+
+
 def _is_clean(typed: Column, text: Column) -> Column:
-    clean = F.abs(typed.getField("price")) < F.lit(float("inf"))
-    for name in _NESTED:
-        read = typed.getField(name)
+    def plain(name: str) -> Column:
         # A leading bracket may stand for a nested value; no text column takes a NUL.
-        clean = clean & ~(read.startswith("{") | read.startswith("[") | read.contains("\x00"))
+        read = typed.getField(name)
+        return ~(read.startswith("{") | read.startswith("[") | read.contains("\x00"))
+
+    def absent(name: str) -> Column:
+        # Without escapes a key can only be there as it is; if it is, its value is null.
+        return ~text.contains(f'"{name}"') & ~text.contains("\\")
+
+    clean = (F.abs(typed.getField("price")) < F.lit(float("inf"))) & plain("symbol")
+    for name in ("company", "market"):
+        clean = clean & F.coalesce(plain(name), absent(name))
     return F.coalesce(clean & ~_foreign_infinity(text), F.lit(False))
 
 

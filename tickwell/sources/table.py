@@ -1,8 +1,12 @@
 """The price table: catalog table, replay-safe file history, and database options."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwell.functions.clock import moment
+from tickwell.operators.keys import not_stored
 from tickwell.schema import LINEAGE, PRICE_COLUMNS, REJECT_COLUMNS, TABLE, price_columns_ddl
 from tickwell.sources.files import if_there
 
@@ -90,6 +94,28 @@ def jdbc_options(url: str, user: str, password: str, table: str = TABLE, batch_r
     }
 
 
+def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """Prices in a database; filters and column lists run there."""
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def jdbc_sink(options: dict[str, str], connections: int = 16) -> Callable[[DataFrame, int], None]:
+    """A further sink for ``start_ingest``: a replayed batch adds only the rows that did not get through."""
+
+    def store(prices: DataFrame, batch_id: int) -> None:
+        append_jdbc(only_missing(prices, read_jdbc(prices.sparkSession, options)), options, connections)
+
+    return store
+
+
+def only_missing(prices: DataFrame, stored: DataFrame) -> DataFrame:
+    """Prices whose key ``stored`` lacks; of ``stored`` only the batch's own time range is read."""
+    span = prices.agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last")).first()
+    if span["first"] is None:
+        return prices
+    return not_stored(prices, stored.filter(F.col("timestamp").between(moment(span["first"]), moment(span["last"]))))
+
+
 def append_jdbc(prices: DataFrame, options: dict[str, str], connections: int = 16) -> None:
     """Append checked rows to a database table over a bounded number of connections.
 

@@ -1,8 +1,23 @@
-"""Price trend and tick volume as a stream (our addition: the reference data has no event-time windows)."""
+"""Event-time streams (our addition: messages themselves carry no event time): trend, tick volume, unique keys."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwell.schema import PRICE_KEY
+
+
+def unique_stream(ticks: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """One tick per key, the first that comes; keys are remembered for ``late`` after their time.
+
+    For a stream that is not stored; ``start_ingest`` with a clock checks the whole history.
+    """
+    return (
+        ticks.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        .withWatermark("timestamp", late)
+        .dropDuplicatesWithinWatermark(PRICE_KEY)
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    )
+
 
 def trend_stream(ticks: DataFrame, bucket: str = "1 hour", late: str = "10 minutes", tie: str | None = None) -> DataFrame:
     """``price_trend`` over a stream of ticks; a bucket is emitted once no tick up to ``late`` may still change it."""
