@@ -78,8 +78,13 @@ def test_lists_that_are_broadcast_are_few(ticks, monkeypatch):
     assert sliced.count() == 6001
 
 
-def test_no_window_over_a_whole_symbol(ticks):
+def test_small_symbols_cost_one_shuffle(ticks):
     plan = price_momentum(ticks, tie="id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_no_window_over_a_whole_symbol(ticks):
+    plan = price_momentum(ticks, tie="id", slice_rows=100)._jdf.queryExecution().executedPlan().toString()
     for line in plan.split("\n"):
         if "Window [" in line and "row_number" in line:
             assert "_slice" in line

@@ -9,6 +9,8 @@ before. Slices follow from the data alone, so a task that is run again cuts the
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwell.sources.scratch import kept
+
 #: Rows a single slice may hold by default; some hundred MB of narrow rows.
 SLICE_ROWS = 1_000_000
 
@@ -72,24 +74,36 @@ def time_sliced(df: DataFrame, key: str, clock: str, slice_rows: int = SLICE_ROW
     Each group, hour and part on a list holds more than ``slice_rows`` rows, which is
     raised with the table so that no list has more than ``MOST_LARGE`` entries: what is
     broadcast cannot outgrow that, whatever the data.
+
+    Counts rows at once, with one job per level that turns out to be needed; without a
+    large group that is one count per group. The lists are kept, so that all uses of
+    the result, and all attempts of a task, see the same slices.
     """
+    totals = kept(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
+    rows = totals.agg(F.sum("_n")).first()[0] or 0
+    enough = max(slice_rows, -(-rows // MOST_LARGE))
+    groups = totals.filter(F.col("_n") > enough).select(key)
+    if groups.isEmpty():
+        return df.withColumn("_slice", F.lit(None).cast("bigint"))
+
     micros = F.unix_micros(F.col(clock).cast("timestamp"))
-    hourly = df.withColumns(
+    cut = df.withColumns(
         {"_slice": F.floor(micros / F.lit(_HOUR_MICROS)) * _HOUR_MICROS, "_width": F.lit(_HOUR_MICROS).cast("bigint")}
     )
-    hours = hourly.groupBy(key, "_slice", "_width").agg(F.count(F.lit(1)).alias("_n"))
-    enough = hours.agg(F.greatest(F.lit(slice_rows), F.ceil(F.sum("_n") / F.lit(MOST_LARGE)))).scalar()
-    groups = hours.groupBy(key).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > enough)
-
-    large_hours = _parts(hours, key, enough)
-    parts = _divided(hourly, key, micros, large_hours, "inner").groupBy(key, "_slice", "_width").agg(F.count(F.lit(1)).alias("_n"))
-    cut = _divided(_divided(hourly, key, micros, large_hours, "left"), key, micros, _parts(parts, key, enough, CROWDED), "left")
-    return cut.join(F.broadcast(groups.select(key, F.lit(True).alias("_large"))), key, "left").select(
+    inside = cut.join(F.broadcast(groups), key, "left_semi")
+    for finer in (1, CROWDED):
+        counts = inside.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+        large = kept(_parts(counts, key, enough, finer))
+        if large.isEmpty():
+            break
+        cut = _divided(cut, key, micros, large, "left")
+        inside = _divided(inside, key, micros, large, "inner")
+    return cut.join(F.broadcast(groups.withColumn("_large", F.lit(True))), key, "left").select(
         *df.columns, F.when(F.col("_large"), F.col("_slice")).alias("_slice")
     )
 
 
-def _parts(cells: DataFrame, key: str, enough: Column, finer: int = 1) -> DataFrame:
+def _parts(cells: DataFrame, key: str, enough: int, finer: int) -> DataFrame:
     return cells.filter(F.col("_n") > enough).select(key, "_slice", F.ceil(F.col("_n") * finer / enough).alias("_parts"))
 
 
