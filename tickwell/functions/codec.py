@@ -137,7 +137,7 @@ class _Payload:
         return F.from_json(self._sealed(), f"array<struct<{fields}, seal STRING>>", _STRICT)
 
     def is_object(self, parsed: Column) -> Column:
-        """Whether ``parsed`` is a whole payload that is an object or null."""
+        """Whether ``parsed`` is a whole payload that is an object."""
         sealed = (F.size(parsed) == 2) & (F.get(parsed, F.lit(1)).getField("seal") == self.seal)
         return F.coalesce(sealed, F.lit(False)) & ~self.foreign
 
@@ -158,16 +158,19 @@ class _Payload:
 def _other_tick(text: Column) -> Column:
     def read(seal: Column) -> Column:
         payload = _Payload(text, seal)
-        return _let(payload.parse(_TEXT), lambda parsed: judge(payload, parsed))
+        stray = F.when(payload.is_json(), "not_object").otherwise("malformed")
+        # Nothing but an object starts with a brace. A text that is NULL, not being UTF-8, is no JSON either.
+        return F.when(~F.ltrim(text, F.lit(" \t\n\r")).startswith("{"), _reject(stray)).otherwise(
+            _let(payload.parse(_TEXT), lambda parsed: judge(payload, parsed))
+        )
 
     def judge(payload: _Payload, parsed: Column) -> Column:
-        # A text that is NULL, not being UTF-8, is no JSON either.
-        stray = F.when(payload.is_json(), "not_object").otherwise("malformed")
         loose = F.get(parsed, F.lit(0))
-        return (
-            F.when(~payload.is_object(parsed), _reject(stray))
-            .when(loose.isNull(), _reject(F.lit("not_object")))
-            .otherwise(_let(payload.keys(), lambda keys: from_object(payload, loose, keys)))
+        some_null = loose.getField("symbol").isNull()
+        for name in ("price", "company", "market"):
+            some_null = some_null | loose.getField(name).isNull()
+        return F.when(~payload.is_object(parsed), _reject(F.lit("malformed"))).otherwise(
+            _let(F.when(some_null, payload.keys()), lambda keys: from_object(payload, loose, keys))
         )
 
     def from_object(payload: _Payload, loose: Column, keys: Column) -> Column:
@@ -185,7 +188,7 @@ def _reject(reason: Column) -> Column:
 
 def _tick_of(payload: _Payload, loose: Column, keys: Column, price: Column) -> Column:
     def has(name: str) -> Column:
-        return F.array_contains(keys, name)
+        return loose.getField(name).isNotNull() | F.array_contains(keys, name)
 
     symbol = loose.getField("symbol")
     reason = (
