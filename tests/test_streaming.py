@@ -6,11 +6,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tickwell.functions.codec import encode_tick
+from tickwell.functions.clock import moment
 from tickwell.operators.validate import accepted, judge
 from tickwell.plans.ingest import ingest
 from tickwell.sources.events import mixed_payload, records_of
-from tickwell.sources.table import read_history, read_rejects
+from tickwell.sources.table import read_history, read_rejects, write_history
 from tickwell.sources.topic import append_topic, follow_topic, read_topic, to_messages, to_records, topic_ends
 from tickwell.streaming.ingest import start_ingest
 from tickwell.streaming.poll import start_poller
@@ -104,6 +104,19 @@ def test_replayed_batch_replaces_itself(spark, records, scratch, clock):
     assert rows(job.rejects, "reason", *LINEAGE) == rejects
 
 
+def test_stamps_move_behind_those_of_a_batch_that_ran_ahead(spark, records, scratch):
+    """As if an earlier run had stamped a minute ahead of the clock."""
+    append_topic(records, f"{scratch}/topic")
+    job = Job(spark, scratch)
+    now = spark.sql("SELECT CAST(current_timestamp() AS TIMESTAMP_NTZ) + INTERVAL 60 SECOND AS t").first().t
+    ahead = accepted(judge(records)).filter("symbol = 'click'").limit(1).withColumn("timestamp", moment(now))
+    write_history(ahead, f"{scratch}/history", "earlier", 0)
+    job.run()
+    first = {r.symbol: r.t for r in job.history.filter("run_id <> 'earlier'").groupBy("symbol").agg(F.min("timestamp").alias("t")).collect()}
+    assert first["click"] > now > first["view"]
+    assert job.history.select("symbol", "timestamp").distinct().count() == job.history.count()
+
+
 def test_new_checkpoint_leaves_old_history(spark, records, scratch):
     append_topic(records, f"{scratch}/topic")
     job = Job(spark, scratch)

@@ -1,4 +1,5 @@
 import uuid
+from datetime import date
 
 import pytest
 from pyspark.errors import PySparkException
@@ -11,6 +12,7 @@ from tickwell.sources.table import (
     create_price_table,
     jdbc_options,
     only_missing,
+    read_batch,
     read_history,
     write_history,
 )
@@ -47,6 +49,12 @@ def test_history_batches_replace_themselves(spark, scratch):
     assert read_history(spark, path).count() == 2
     write_history(batch, path, "run-2", 0)
     assert read_history(spark, path).count() == 4
+    day = date(2024, 1, 2)
+    assert [r.price for r in read_history(spark, path, [day]).collect()] == [2.0, 2.0]
+    assert read_history(spark, path, [day, date(2024, 1, 1), date(2023, 1, 1)]).count() == 4
+    assert read_history(spark, path, [date(2023, 1, 1)]).count() == 0
+    assert read_history(spark, path, [day]).schema == read_history(spark, path).schema
+    assert read_batch(spark, path, "run-2", 0).count() == 2
     one_day = read_history(spark, path).filter("date = DATE '2024-01-02'")
     assert one_day.count() == 2
     assert "PartitionFilters: [isnotnull(date" in one_day._jdf.queryExecution().executedPlan().toString()
@@ -67,5 +75,5 @@ def test_a_further_sink_gets_only_what_it_lacks(spark):
 
 
 def test_jdbc_options():
-    options = jdbc_options("jdbc:postgresql://db/stock_market", "u", "p")
+    options = jdbc_options("jdbc:postgresql://db/prices", "u", "p")
     assert options["dbtable"] == "stock_prices" and options["batchsize"] == "10000"

@@ -1,6 +1,7 @@
 """The price table: catalog table, replay-safe file history, and database options."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,17 +67,28 @@ HISTORY_DDL = (
 REJECTS_DDL = f"{_LINEAGE_DDL}, value BINARY, reason STRING, {_BATCH_DDL}"
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """Stored prices. Filter on ``date`` as well as ``timestamp`` to read only those days."""
-    return _read(spark, path, HISTORY_DDL)
+def read_history(spark: SparkSession, path: str, days: Iterable[date] | None = None) -> DataFrame:
+    """Stored prices. With ``days``, the folders of other days are not even listed."""
+    where = path if days is None else _either(f"{path}/date=", sorted(d.isoformat() for d in days))
+    return _read(spark, path, where, HISTORY_DDL)
+
+
+def read_batch(spark: SparkSession, path: str, run_id: str, batch_id: int) -> DataFrame:
+    """The stored prices of one batch, on whatever days."""
+    return _read(spark, path, f"{path}/date=*/run_id={run_id}/batch_id={batch_id}", HISTORY_DDL)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, REJECTS_DDL)
+    return _read(spark, path, path, REJECTS_DDL)
+
+
+def _read(spark: SparkSession, path: str, where: str, ddl: str) -> DataFrame:
+    reader = spark.read.schema(ddl).option("basePath", path)
+    return if_there(spark, lambda: reader.parquet(where), ddl)
 
 
-def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    return if_there(spark, lambda: spark.read.schema(ddl).parquet(path), ddl)
+def _either(prefix: str, names: list[str]) -> str:
+    return f"{prefix}{names[0]}" if len(names) == 1 else f"{prefix}{{{','.join(names)}}}"
 
 
 # --- database -------------------------------------------------------------

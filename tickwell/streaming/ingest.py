@@ -3,16 +3,17 @@
 import json
 import logging
 from collections.abc import Callable
+from datetime import date, datetime, timedelta
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwell.functions.clock import moment
 from tickwell.operators.validate import judge
 from tickwell.plans.ingest import Settled, settle_by_arrival, settle_by_clock
-from tickwell.sources.table import read_history, write_history, write_rejects
+from tickwell.sources.table import read_batch, read_history, write_history, write_rejects
 
 log = logging.getLogger(__name__)
 
@@ -32,31 +33,38 @@ def start_ingest(
 
     Without ``clock``, prices are stamped on arrival; with it, they are keyed by that
     column. Without ``seconds``, the query takes what is there and ends. ``also`` gets
-    each batch's stored prices, for a further sink.
+    each batch's stored prices, for a further sink. One query at a time may write to a
+    history; within it, all topic partitions are read in parallel.
 
     The stream's progress is kept in ``checkpoint``; history partitions carry the id of
     that checkpoint and the batch number, so a replayed batch replaces itself.
     """
     arriving = records.withColumn("_arrived", F.current_timestamp())
 
+    stamps = _Stamps()
+
     def settle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run_id = run_id_of(spark, checkpoint)
         judged = judge(batch, legacy=legacy, on_malformed=on_malformed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            report = _report(judged, clock)
-            if not report.records:
+            counts = _counts(judged)
+            if not counts:
                 return
-            log.info("batch %d: %s", batch_id, report.reasons)
-            stored = read_history(spark, history).filter(
-                ~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id))
-            )
-            settled = _settle(judged, stored, clock, report)
+            log.info("batch %d: %s", batch_id, {r.reason or "stored": r.n for r in counts})
+            own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
+
+            def stored_on(days: list[date]) -> DataFrame:
+                return read_history(spark, history, days).filter(~own)
+
+            if clock is None:
+                settled = _by_arrival(judged, counts, stamps, stored_on)
+            else:
+                settled = _by_clock(judged, clock, stored_on)
             write_history(settled.prices, history, run_id, batch_id)
             write_rejects(settled.rejects, rejects, run_id, batch_id)
             if also is not None:
-                own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
-                also(read_history(spark, history).filter(own), batch_id)
+                also(read_batch(spark, history, run_id, batch_id), batch_id)
         finally:
             judged.unpersist()
 
@@ -66,36 +74,40 @@ def start_ingest(
     return writer.trigger(processingTime=f"{seconds} seconds").start()
 
 
-class _Report:
-    """Counts per reason, and the time range of a batch."""
+class _Stamps:
+    """No stamp given so far is past ``reached``; not known before the first batch of a run."""
 
-    def __init__(self, rows: list) -> None:
-        self.records = sum(r.n for r in rows)
-        self.reasons = {r.reason or "stored": r.n for r in rows}
-        self.first = min((r.first for r in rows if r.first is not None), default=None)
-        self.last = max((r.last for r in rows if r.last is not None), default=None)
+    reached: datetime | None = None
 
 
-def _report(judged: DataFrame, clock: str | None) -> _Report:
-    time = F.col(clock or "_arrived").cast("timestamp_ntz")
-    return _Report(
-        judged.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("first"), F.max(time).alias("last")).collect()
-    )
+def _counts(judged: DataFrame) -> list[Row]:
+    """One row per reason, NULL for what is accepted, with the batch's clock."""
+    clock = F.min(F.col("_arrived").cast("timestamp_ntz")).alias("clock")
+    return judged.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), clock).collect()
 
 
-def _settle(judged: DataFrame, stored: DataFrame, clock: str | None, report: _Report) -> Settled:
-    """Only the days, and of these only the files, that the batch's own times fall in are read of the history."""
-    if clock is None:
-        # Stamps ahead of this batch's clock: an earlier batch had more records of a symbol than microseconds passed.
-        first = moment(report.first)
-        ahead = stored.filter((F.col("date") >= first.cast("date")) & (F.col("timestamp") >= first))
+def _by_arrival(
+    judged: DataFrame, counts: list[Row], stamps: _Stamps, stored_on: Callable[[list[date]], DataFrame]
+) -> Settled:
+    """The history is read only if an earlier batch may have stamped ahead of this one's clock: it had more
+    records of a symbol than microseconds passed, or it ran before a restart."""
+    clock = min(r.clock for r in counts)
+    latest = None
+    if stamps.reached is None or stamps.reached >= clock:
+        day = clock.date()
+        ahead = stored_on([day, day + timedelta(days=1)]).filter(F.col("timestamp") >= moment(clock))
         latest = ahead.groupBy("symbol").agg(F.max("timestamp").alias("last"))
-        return settle_by_arrival(judged, F.col("_arrived"), latest)
-    if report.first is None:
-        return settle_by_clock(judged, clock)
-    first, last = moment(report.first), moment(report.last)
-    days = F.col("date").between(first.cast("date"), last.cast("date"))
-    return settle_by_clock(judged, clock, stored.filter(days & F.col("timestamp").between(first, last)))
+        stamps.reached = max(clock, latest.agg(F.max("last")).first()[0] or clock)
+    stamps.reached = max(stamps.reached, clock) + timedelta(microseconds=sum(r.n for r in counts))
+    return settle_by_arrival(judged, F.col("_arrived"), latest)
+
+
+def _by_clock(judged: DataFrame, clock: str, stored_on: Callable[[list[date]], DataFrame]) -> Settled:
+    """Of the history only the days that the batch's own times fall on are read."""
+    time = F.col(clock).cast("timestamp_ntz")
+    days = judged.filter(F.col("reason").isNull()).select(F.to_date(time).alias("day")).filter("day IS NOT NULL").distinct()
+    listed = [r.day for r in days.collect()]
+    return settle_by_clock(judged, clock, stored_on(listed) if listed else None)
 
 
 def run_id_of(spark: SparkSession, checkpoint: str) -> str:
