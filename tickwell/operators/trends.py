@@ -104,7 +104,7 @@ def price_momentum(
 
 
 def market_summary(prices: DataFrame) -> DataFrame:
-    """Ticks, average price and number of symbols per market."""
+    """Ticks, average price and number of symbols per market (our reading of what the columns are for)."""
     per_symbol = prices.groupBy("market", "symbol").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("price").alias("_sum"), F.count("price").alias("_priced")
     )
@@ -116,7 +116,10 @@ def market_summary(prices: DataFrame) -> DataFrame:
 
 
 def market_rollup(prices: DataFrame) -> DataFrame:
-    """Ticks and average price per market and symbol, per market, and in all; totals have NULL in the open columns."""
+    """Ticks and average price per market and symbol, per market, and in all (ours, like ``market_summary``).
+
+    Totals have NULL in the open columns.
+    """
     return prices.rollup("market", "symbol").agg(
         F.count(F.lit(1)).alias("n_ticks"), F.avg("price").alias("avg_price")
     )

@@ -138,15 +138,10 @@ def rows_before_slice(sliced: DataFrame, key: str, order: list[str], value: str,
     ahead = Window.partitionBy(key).orderBy("_slice").rowsBetween(-rows, -1)
     joined = F.flatten(F.collect_list("_tail").over(ahead))
     return tails.select(key, "_slice", joined.alias("_tail")).select(
-        key, "_slice", _last_of(F.col("_tail"), rows).getField("_value").alias("_before")
+        key, "_slice", last_items(F.col("_tail"), F.lit(rows)).getField("_value").alias("_before")
     )
 
 
-def _last_of(items: Column, rows: int | Column) -> Column:
-    n = rows if isinstance(rows, Column) else F.lit(rows)
+def last_items(items: Column, n: Column) -> Column:
+    """The last ``n`` items, or all if there are fewer; ``n`` must not be negative."""
     return F.slice(items, F.greatest(F.size(items) - n + 1, F.lit(1)), n)
-
-
-def last_items(items: Column, rows: Column) -> Column:
-    """The last ``rows`` items, or all if there are fewer; ``rows`` must not be negative."""
-    return _last_of(items, rows)
