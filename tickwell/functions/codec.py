@@ -67,7 +67,7 @@ def decode_ticks(df: DataFrame, value: str = "value") -> DataFrame:
     kept = [c for c in df.columns if c not in {*_FIELDS, "reason"}]
     return (
         df.withColumn("_text", F.try_validate_utf8(F.col(value).cast("string")))
-        .withColumn("_typed", F.when(F.locate("}", text) == F.char_length(text), F.from_json(text, _TYPED, _STRICT)))
+        .withColumn("_typed", F.when(_is_flat(text), F.from_json(text, _TYPED, _STRICT)))
         .withColumn("_tick", F.when(_is_clean(typed, text), _clean_tick(typed)).otherwise(_other_tick(text)))
         # A filter on the result must not be pushed below the parse, where it would repeat
         # the parse for each column it reads; no filter passes a generator's own columns.
@@ -75,6 +75,16 @@ def decode_ticks(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def _is_flat(text: Column) -> Column:
+    """An object that ends with its first closing brace: it holds no other, and nothing is behind it."""
+    return F.locate("}", text) == F.char_length(text)
+
+
+def _names(text: Column, name: str) -> Column:
+    """Whether a flat object without escapes has the key: only a key has a colon behind its closing quote."""
+    return text.rlike(rf'"{name}"[ \t\n\r]*:')
+
+
 def _clean_tick(typed: Column) -> Column:
     symbol = typed.getField("symbol")
     return F.struct(
@@ -93,8 +103,8 @@ def _is_clean(typed: Column, text: Column) -> Column:
         return ~(read.startswith("{") | read.startswith("[") | read.contains("\x00"))
 
     def absent(name: str) -> Column:
-        # Without escapes a key can only be there as it is; if it is, its value is null.
-        return ~text.contains(f'"{name}"') & ~text.contains("\\")
+        # If the key is there after all, its value is null.
+        return ~text.contains("\\") & ~_names(text, name)
 
     clean = (F.abs(typed.getField("price")) < F.lit(float("inf"))) & plain("symbol")
     for name in ("company", "market"):
@@ -169,8 +179,9 @@ def _other_tick(text: Column) -> Column:
         some_null = loose.getField("symbol").isNull()
         for name in ("price", "company", "market"):
             some_null = some_null | loose.getField(name).isNull()
+        easy = _is_flat(text) & ~text.contains("\\")
         return F.when(~payload.is_object(parsed), _reject(F.lit("malformed"))).otherwise(
-            _let(F.when(some_null, payload.keys()), lambda keys: from_object(payload, loose, keys))
+            _let(F.when(some_null & ~easy, payload.keys()), lambda keys: from_object(payload, loose, keys))
         )
 
     def from_object(payload: _Payload, loose: Column, keys: Column) -> Column:
@@ -188,7 +199,8 @@ def _reject(reason: Column) -> Column:
 
 def _tick_of(payload: _Payload, loose: Column, keys: Column, price: Column) -> Column:
     def has(name: str) -> Column:
-        return loose.getField(name).isNotNull() | F.array_contains(keys, name)
+        listed = F.when(keys.isNotNull(), F.array_contains(keys, name)).otherwise(_names(payload.text, name))
+        return loose.getField(name).isNotNull() | listed
 
     symbol = loose.getField("symbol")
     reason = (
@@ -211,7 +223,7 @@ def _price_of(payload: _Payload, read: Column) -> Column:
     def within_range(number: Column) -> Column:
         # An integer literal beyond the double range is an error, the same digits in a string are infinity.
         beyond = read.rlike(r"^-?[0-9]{309,}$") & (F.abs(number) == F.lit(float("inf")))
-        return F.when(~F.coalesce(beyond & payload.field("price", "DOUBLE").isNotNull(), F.lit(False)), number)
+        return F.when(beyond, F.when(payload.field("price", "DOUBLE").isNull(), number)).otherwise(number)
 
     return (
         F.when(read.isin("true", "false"), payload.field("price", "BOOLEAN").cast("double"))
