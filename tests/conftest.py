@@ -22,6 +22,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .getOrCreate()
