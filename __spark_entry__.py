@@ -23,6 +23,12 @@ from tickwell.streaming.ingest import start_ingest
 from tickwell.streaming.poll import start_poller
 from tickwell.streaming.rollup import trend_stream, unique_stream
 
+try:  # the corpus operators are an extra; all else works without them
+    import corpus_pipeline
+    from tickwell.llm import queries as corpus
+except ImportError:
+    corpus = None
+
 ASOF = "2024-01-15 12:00:00"
 HOUR = 3600
 
@@ -352,8 +358,12 @@ def entry(spark: SparkSession) -> DataFrame:
     return price_trend(spark, "/root/testdata/sf0.001")
 
 
+def _corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return corpus.queries() | {"pipeline": corpus_pipeline.run} if corpus else {}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return _corpus_queries() | {
         "encode_ticks": encode_ticks,
         "decode_ticks": decode,
         "valid_ticks": valid_ticks,
@@ -504,7 +514,7 @@ json_object('Price', value, 'Name', event_type, 'Timestamp', CAST(round_even(epo
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return (corpus.oracle_sql() if corpus else {}) | {
         "encode_ticks": """
 SELECT event_id,
   CAST(json_object('price', value, 'symbol', event_type, 'company', event_type, 'market', 'NASDAQ') AS VARCHAR) AS value
