@@ -1,0 +1,82 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from llm_tables import DOCS, clashing, odd_docs, odd_rows
+from tickwell.llm import packing
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def ids_of(library, text):
+    return [*library.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+@pytest.mark.parametrize("capacity", [2048, 64])
+def test_each_id_lies_in_one_piece(spark, library, capacity):
+    found = packing.pack(clashing(odd_docs(spark).repartition(3)), packing.byte_bpe(PATH), capacity=capacity, keep_ids=True).collect()
+    pieces = {}
+    for r in found:
+        pieces.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+    want = {}
+    for doc_id, text, *_ in odd_rows():
+        ids = ids_of(library, text)
+        want.setdefault((doc_id, len(ids)), []).append(ids)
+    assert set(pieces) == set(want)
+    for key, rows in pieces.items():
+        if len(want[key]) == 1:
+            (ids,) = want[key]
+            rows = sorted(rows, key=lambda r: r.start)
+            assert [i for r in rows for i in np.frombuffer(r.ids, "<u4")] == ids
+            assert all(r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes()) for r in rows)
+    assert sum(r.length for r in found) == sum(len(i) for all_ in want.values() for i in all_)
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(sequences) == list(range(len(sequences)))
+    for spans in sequences.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= capacity
+
+
+def test_sequences_hold_their_pieces(spark):
+    packed = packing.pack(odd_docs(spark), packing.byte_bpe(PATH), keep_ids=True)
+    rows = packing.sequences(packed).collect()
+    for r in rows:
+        power = r.used & (r.used - 1) == 0
+        assert len(r.ids) == 4 * (r.used if power else 2048)
+
+
+def test_classes_hold_their_number_of_pieces():
+    for length in range(1, 5000, 7):
+        spans = packing.cuts(length, 2048, 1 / 64)
+        assert sum(n for _, n, _ in spans) == length
+        assert all(k * n <= 2048 < (k + 1) * n for _, n, k in spans)
+        assert all(2048 - k * n <= 32 or 2048 // k == n for _, n, k in spans)
+
+
+@pytest.mark.parametrize("text", ["a  b", " a", "a ", "  ", "\n a\n\n b \n", "a<|endoftext|> b", " <|endoftext|>", "x\u3000 y", "é ü", " \u00a0x", "a \n b"])
+def test_words_give_the_texts_ids(library, text):
+    (raw,) = packing.WordIds(PATH).of([text])
+    assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_little_padding(spark, sf_dir):
+    packed = packing.pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), packing.byte_bpe(PATH))
+    used = [r.used for r in packed.groupBy("sequence_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "used").collect()]
+    assert sum(2048 - u for u in used if u & (u - 1)) < 0.02 * sum(used)
+
+
+def test_no_rows(spark):
+    assert packing.pack(spark.createDataFrame([], DOCS), packing.byte_bpe(PATH)).count() == 0

@@ -167,9 +167,9 @@ def exact_dedup(docs: DataFrame, in_history: Column) -> DataFrame:
 
 def survivors(docs: DataFrame, in_history: Column) -> DataFrame:
     """``docs`` with one row of each group: the largest doc_id, one of its rows if it is repeated."""
-    digest, many = free_name(docs, "digest"), free_name(docs, "keep_rows")
-    kept = exact_dedup(docs, in_history).where("kept").select(F.col("doc_id").alias("k"), F.col("digest").alias("d"), F.col("keep_rows").alias(many)).distinct()
+    digest, many, own, same = (free_name(docs, n) for n in ("digest", "keep_rows", "kept_id", "kept_digest"))
+    kept = exact_dedup(docs, in_history).where("kept").select(F.col("doc_id").alias(own), F.col("digest").alias(same), F.col("keep_rows").alias(many)).distinct()
     wide = docs.withColumn(digest, text_digest("text"))
-    found = wide.join(kept, wide["doc_id"].eqNullSafe(kept["k"]) & (wide[digest] == kept["d"])).drop("k", "d")
+    found = wide.join(kept, wide["doc_id"].eqNullSafe(kept[own]) & (wide[digest] == kept[same]))
     single, repeated = found.where(F.col(many) == 1), found.where(F.col(many) > 1).dropDuplicates([digest])
     return single.unionByName(repeated).select(*docs.columns)

@@ -210,8 +210,8 @@ def first_of_each(docs: DataFrame, size: int = SIZE, radius: int = RADIUS) -> Da
     """``docs`` with one row of each component: its smallest doc_id, one of its rows if repeated."""
     found = simhash_components(docs, size, radius)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("fp").alias("fp"), F.count("*").alias("n"))
-    n = free_name(docs, "n")
-    kept = kept.select(F.col("doc_id").alias("k"), F.col("n").alias(n))
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["k"])).drop("k")
+    n, own = free_name(docs, "n"), free_name(docs, "kept_id")
+    kept = kept.select(F.col("doc_id").alias(own), F.col("n").alias(n))
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept[own]))
     single, repeated = rows.where(F.col(n) == 1), rows.where(F.col(n) > 1).dropDuplicates(["doc_id"])
     return single.unionByName(repeated).select(*docs.columns)
