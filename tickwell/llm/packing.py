@@ -22,6 +22,8 @@ ids are packed as they come, each row a document. An empty table gives no pieces
 other than doc_id and text are not read.
 """
 
+import re
+import struct
 import zlib
 from collections.abc import Callable
 from functools import lru_cache
@@ -29,62 +31,108 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.llm.common import stored, utf8
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bin_class long, worker long, number long"
-#: Distinct words whose ids a Python worker keeps; beyond them it asks the tokenizer again.
+#: Distinct words whose ids a Python worker keeps, twice: those in use and those of before.
 KEPT_WORDS = 400_000
+_TAIL = ".,;:!?"
+#: Fixed value: how a byte-level BPE of this kind cuts a text.
+_PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Beyond these scripts what counts as a letter may differ between libraries; the tokenizer decides.
+_SETTLED = "\u0530"
+_ODD_SPACE = re.compile(r" (?=\s)| \Z")
 
 
-class WordIds:
-    """Ids of whole texts, by way of those of each distinct word.
+class WordIds(dict):
+    """Ids of whole texts, by way of those of each distinct word with a space before it.
 
     A byte-level BPE cuts a text before every space that a non-space follows, so ids of
-    the parts between these cuts, each with its space, are the ids of the text.
+    the parts between these cuts, each with its space, are the ids of the text. A word is
+    cut on into pre-tokens, which go to the tokenizer's model one by one, each once; words
+    that may hold special tokens or unsettled scripts go to the tokenizer as they are.
     """
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
+        self.before: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found, strict=True)}
+        self.model = self.tokenizer.model
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        some = "".join(map(chr, (*range(0x800), *range(0x800, 0xD800, 0x400), *range(0xE000, 0x110000, 0x1000))))
+        #: How the model writes each byte.
+        self.letters = {b: c for char in some for b, c in zip(char.encode(), spell(char)[0][0], strict=True)}
+
+    def whole(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit numbers."""
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if text else b""
+
+    def piece(self, text: str) -> bytes:
+        """Ids of one pre-token."""
+        ids = self.pieces.get(text)
+        if ids is None:
+            spelt = text.encode().decode("latin-1").translate(self.letters)
+            ids = packed([t.id for t in self.model.tokenize(spelt)])
+            if len(self.pieces) >= KEPT_WORDS // 4:
+                self.pieces.clear()
+            self.pieces[text] = ids
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            core = word.rstrip(_TAIL)
+            if not word or max(word) >= _SETTLED or "<|" in word:
+                ids = self.whole(f" {word}")
+            elif not core.isalpha():
+                ids = b"".join(map(self.piece, _PRE_TOKENS.findall(f" {word}")))
+            elif core != word:
+                ids = self[core] + self.piece(word[len(core) :])
+            else:
+                spelt = f" {word}".encode().decode("latin-1").translate(self.letters)
+                ids = packed([t.id for t in self.model.tokenize(spelt)])
+        if len(self) >= KEPT_WORDS:
+            self.before = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
     def of(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers."""
-        cut, known = [parts(t) for t in texts], self.known
-        new = list({w for words in cut for w in words if w not in known})
-        if len(known) + len(new) > KEPT_WORDS:
-            known = self.known = {}
-            new = list({w for words in cut for w in words})
-        for i in range(0, len(new), 20_000):
-            known.update(self._learn(new[i : i + 20_000]))
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
+        return [self.ids(t) for t in texts]
+
+    def ids(self, text: str) -> bytes:
+        first, *rest = parts(text)
+        return self.whole(first) + b"".join(map(self.__getitem__, rest))
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def parts(text: str) -> list[str]:
-    """A text cut before each space that a non-space follows."""
-    if not text:
-        return []
-    first, *rest = text.split(" ")
-    out = [first]
-    for word in rest:
+    """A text cut at each space that a non-space follows, these spaces left out."""
+    words = text.split(" ")
+    if not _ODD_SPACE.search(text):
+        return words
+    out = words[:1]
+    for word in words[1:]:
         if word and not word[0].isspace():
-            out.append(" " + word)
+            out.append(word)
         else:
             out[-1] += " " + word
-    return out if first else out[1:]
+    return out
 
 
 @lru_cache(maxsize=4)
