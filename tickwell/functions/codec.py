@@ -55,20 +55,27 @@ def from_epoch_millis(millis: Column) -> Column:
 # --- decode ---------------------------------------------------------------
 
 
-def decode_ticks(df: DataFrame, value: str = "value") -> DataFrame:
+def decode_ticks(df: DataFrame, value: str = "value", legacy: bool = False) -> DataFrame:
     """Add ``symbol, price, company, market`` and ``reason`` (NULL for a readable tick).
 
+    With ``legacy``, messages under the legacy names are read by the same rules, and
+    ``event_time`` is added: their producer's clock, by the rules of the price, NULL if
+    they or a current message give none. A time no timestamp holds is ``bad_timestamp``.
+
     One JSON parse settles a clean message: a flat object whose only closing brace is
     its last character, with a symbol, a finite number for a price, and the other fields
     given or clearly absent. Only other messages are parsed again: as text, for the keys
     that are present, and for the kind of value.
     """
     text, typed = F.col("_text"), F.col("_typed")
-    kept = [c for c in df.columns if c not in {*_FIELDS, "reason"}]
+    kept = [c for c in df.columns if c not in {*_FIELDS, "reason", *(["event_time"] if legacy else [])}]
+    tick = F.when(_is_clean(typed, text), _clean_tick(typed)).otherwise(_other_tick(text))
+    read = F.try_validate_utf8(F.col(value).cast("string"))
     return (
-        df.withColumn("_text", F.try_validate_utf8(F.col(value).cast("string")))
+        df.withColumn("_given", read)
+        .withColumn("_text", F.when(_is_legacy(F.col("_given")), _renamed(F.col("_given"))).otherwise(F.col("_given")) if legacy else F.col("_given"))
         .withColumn("_typed", F.when(_is_flat(text), F.from_json(text, _TYPED, _STRICT)))
-        .withColumn("_tick", F.when(_is_clean(typed, text), _clean_tick(typed)).otherwise(_other_tick(text)))
+        .withColumn("_tick", _let(tick, lambda t: _timed(t, F.col("_given"))) if legacy else tick)
         # A filter on the result must not be pushed below the parse, where it would repeat
         # the parse for each column it reads; no filter passes a generator's own columns.
         .select(*kept, F.inline(F.array("_tick")))
@@ -242,19 +249,31 @@ def _unstorable(payload: _Payload, read: Column, name: str) -> Column:
 
 # --- legacy ---------------------------------------------------------------
 
+#: Epoch milliseconds of the years 1 to 9999, all that a timestamp takes.
+_FIRST_MILLI, _LAST_MILLI = -62_135_596_800_000, 253_402_300_799_999
 
-def decode_legacy_ticks(df: DataFrame, value: str = "value") -> DataFrame:
-    """Legacy messages in current form: renamed fields, and the producer's clock as ``timestamp``."""
-    doc = F.from_json(F.col(value).cast("string"), "Price DOUBLE, Name STRING, Timestamp BIGINT", _STRICT)
-    kept = [c for c in df.columns if c not in {*_FIELDS, "timestamp"}]
-    return (
-        df.select(*kept, doc.alias("_doc"))
-        .select(
-            *kept,
-            F.col("_doc.Name").alias("symbol"),
-            F.col("_doc.Price").alias("price"),
-            from_epoch_millis(F.col("_doc.Timestamp")).alias("timestamp"),
-            F.col("_doc.Name").alias("company"),
-            F.lit(DEFAULT_MARKET).alias("market"),
+
+def _is_legacy(text: Column) -> Column:
+    """Whether a message has the legacy name for its symbol and not the current one (in plain spelling)."""
+    return F.coalesce(_names(text, "Name") & ~_names(text, "symbol"), F.lit(False))
+
+
+def _renamed(text: Column) -> Column:
+    """A legacy message under the current names. A quote inside a string has a backslash, so none of these is a text."""
+    named = F.regexp_replace(text, r'"Name"([ \t\n\r]*:)', '"symbol"$1')
+    return F.regexp_replace(named, r'"Price"([ \t\n\r]*:)', '"price"$1')
+
+
+def _timed(tick: Column, text: Column) -> Column:
+    """``tick`` with ``event_time``, the producer's clock, or the reason why a legacy message has no valid one."""
+
+    def read(stamp: Column) -> Column:
+        millis = F.floor(float_of(stamp))
+        valid = F.coalesce(millis.between(_FIRST_MILLI, _LAST_MILLI), F.lit(False))
+        return F.struct(
+            *(tick.getField(n).alias(n) for n in _FIELDS),
+            F.when(valid, from_epoch_millis(F.when(valid, millis))).alias("event_time"),
+            F.coalesce(tick.getField("reason"), F.when(stamp.isNotNull() & ~valid, "bad_timestamp")).alias("reason"),
         )
-    )
+
+    return _let(F.when(_is_legacy(text), F.from_json(text, "Timestamp STRING", _STRICT).getField("Timestamp")), read)

@@ -1,10 +1,10 @@
 """Row checks: every record is either a storable tick or carries the reason why it is not."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.functions.codec import decode_ticks, from_epoch_millis
-from tickwell.schema import DEFAULT_MARKET, LIMITS
+from tickwell.functions.codec import decode_ticks
+from tickwell.schema import LIMITS
 
 
 def check_lengths(df: DataFrame, limits: dict[str, int] = LIMITS) -> DataFrame:
@@ -19,42 +19,20 @@ def check_lengths(df: DataFrame, limits: dict[str, int] = LIMITS) -> DataFrame:
     return df.withColumns({"reason": reason, **columns})
 
 
-def accept_legacy(df: DataFrame, value: str = "value") -> DataFrame:
-    """Take legacy messages in, which are otherwise rejected for their missing symbol.
-
-    Adds ``event_time``, the producer's clock, which current messages do not carry.
-    """
-    doc = F.from_json(F.col(value).cast("string"), "Price DOUBLE, Name STRING, Timestamp BIGINT")
-    staged = df.withColumn("_v1", F.when(F.col("reason") == "missing_symbol", doc))
-    v1 = F.col("_v1")
-    takes = v1.getField("Name").isNotNull() & v1.getField("Price").isNotNull()
-
-    def swap(legacy: Column, current: str) -> Column:
-        return F.when(takes, legacy).otherwise(F.col(current))
-
-    return staged.withColumns(
-        {
-            "symbol": swap(v1.getField("Name"), "symbol"),
-            "price": swap(v1.getField("Price"), "price"),
-            "company": swap(v1.getField("Name"), "company"),
-            "market": swap(F.lit(DEFAULT_MARKET), "market"),
-            "event_time": F.when(takes, from_epoch_millis(v1.getField("Timestamp"))),
-            "reason": swap(F.lit(None).cast("string"), "reason"),
-        }
-    ).drop("_v1")
-
-
 def judge(df: DataFrame, value: str = "value", legacy: bool = False, on_malformed: str = "quarantine") -> DataFrame:
     """Decode and check ``value``: adds the tick columns and ``reason``.
 
+    ``legacy`` lets legacy messages in and adds ``event_time``: their producer's clock,
+    or the record's own ``timestamp``, if there is one, for a message without.
+
     ``on_malformed="fail"`` stops the job at a payload that is no JSON text, instead
     of setting it aside.
     """
     if on_malformed not in ("quarantine", "fail"):
         raise ValueError(f"on_malformed: {on_malformed}")
-    judged = decode_ticks(df, value)
-    if legacy:
-        judged = accept_legacy(judged, value)
+    judged = decode_ticks(df, value, legacy)
+    if legacy and "timestamp" in df.columns:
+        judged = judged.withColumn("event_time", F.coalesce("event_time", F.col("timestamp").cast("timestamp_ntz")))
     if on_malformed == "fail":
         stop = F.raise_error(F.lit("payload is not JSON")).cast("string")
         judged = judged.withColumn("reason", F.when(F.col("reason") == "malformed", stop).otherwise(F.col("reason")))
