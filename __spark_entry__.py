@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwell.functions.clock import moment
-from tickwell.functions.codec import decode_legacy_ticks, decode_ticks, encode_legacy_tick, epoch_millis
+from tickwell.functions.codec import decode_ticks, encode_legacy_tick, epoch_millis
 from tickwell.functions.numbers import float_of
 from tickwell.operators import sample, trends
 from tickwell.operators.keys import already_stored, first_by_key, not_stored, repeats_by_key, stamp_arrivals
 from tickwell.operators.validate import accepted, check_lengths, judge, reject_report
 from tickwell.plans import sql
 from tickwell.plans.ingest import ingest
-from tickwell.sources.events import clean_payload, mixed_payload, records_of, ticks_of
+from tickwell.sources.events import LEGACY_KINDS, clean_payload, legacy_payload, mixed_payload, records_of, ticks_of
 from tickwell.sources.scratch import shared_folder
-from tickwell.sources.table import read_history, read_rejects
+from tickwell.sources.table import append_prices, compact_history, create_price_table, drop_merged, read_history, read_rejects, write_history
 from tickwell.sources.topic import append_topic, follow_topic, read_topic, scan_topic
 from tickwell.streaming.ingest import start_ingest
 from tickwell.streaming.poll import start_poller
@@ -107,14 +109,16 @@ def epoch_millis_of_events(spark, sf_dir):
 
 
 def legacy_upgrade(spark, sf_dir):
-    return decode_legacy_ticks(legacy_encode(spark, sf_dir)).drop("value")
+    """Legacy and current messages, good and bad: what each is read as, or why it is not."""
+    messages = _events(spark, sf_dir).select("event_id", legacy_payload(F.col("ts")).alias("value"))
+    judged = judge(messages, legacy=True)
+    read = ["symbol", "price", "company", "market", "event_time"]
+    return judged.select("event_id", *[F.when(F.col("reason").isNull(), F.col(c)).alias(c) for c in read], "reason")
 
 
 def legacy_ingest(spark, sf_dir):
-    """Legacy and current messages in one topic, with legacy ones let in and kept under their producer's time."""
-    events = _events(spark, sf_dir)
-    legacy = encode_legacy_tick(F.col("value"), F.col("event_type"), F.date_trunc("minute", "ts"))
-    records = records_of(events, F.when(F.col("event_id") % 2 == 0, legacy).otherwise(clean_payload()))
+    """Legacy and current messages in one topic, kept under their producer's time or, without one, the record's."""
+    records = records_of(_events(spark, sf_dir), legacy_payload(F.date_trunc("minute", "ts")))
     settled = ingest(records, "event_time", legacy=True)
     good = settled.prices.select("partition", "offset", "symbol", "timestamp", F.lit(None).cast("string").alias("reason"))
     bad = settled.rejects.select(
@@ -130,10 +134,20 @@ def legacy_ingest(spark, sf_dir):
 # --- topic, keys, ingestion -----------------------------------------------
 
 
-def topic_scan(spark, sf_dir):
+def topic_offsets(spark, sf_dir):
     return records_of(_events(spark, sf_dir), clean_payload()).select("event_id", "partition", "offset")
 
 
+def topic_scan(spark, sf_dir):
+    """A topic of two, written and read from its start."""
+    folder = shared_folder(spark, "topic")
+    records = records_of(_events(spark, sf_dir), clean_payload())
+    append_topic(records, folder)
+    append_topic(records.withColumn("topic", F.lit("other")), folder)
+    scanned = scan_topic(read_topic(spark, folder))
+    return scanned.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+
+
 def topic_resume(spark, sf_dir):
     """The topic from the offsets a consumer had reached: here none of partition 0, and some of two others."""
     records = records_of(_events(spark, sf_dir), clean_payload())
@@ -194,6 +208,51 @@ def ingest_rejects(spark, sf_dir):
     return rejects.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"), "reason")
 
 
+def history_replay(spark, sf_dir):
+    """Batches of the history, all written a second time, as after a failure."""
+    folder = _history_in_batches(spark, sf_dir)
+    return read_history(spark, folder).drop("date", "run_id", "batch_id")
+
+
+def history_compact(spark, sf_dir):
+    """The history merged once, a merged batch replayed, folders dropped, a late batch merged as well."""
+    folder = _history_in_batches(spark, sf_dir, BATCHES - 1)
+    compact_history(spark, folder, ALL_DAYS)
+    _write_batches(spark, sf_dir, folder, [1])
+    drop_merged(spark, folder)
+    _write_batches(spark, sf_dir, folder, [1, BATCHES - 1])
+    compact_history(spark, folder, ALL_DAYS)
+    return read_history(spark, folder).drop("date", "run_id", "batch_id")
+
+
+BATCHES = 4
+ALL_DAYS = date(2100, 1, 1)
+
+
+def _history_in_batches(spark, sf_dir, batches=BATCHES):
+    folder = shared_folder(spark, "history")
+    _write_batches(spark, sf_dir, folder, [*range(batches), 0])
+    return folder
+
+
+def _write_batches(spark, sf_dir, folder, numbers):
+    prices = ingest(_by_minute(spark, sf_dir), "timestamp").prices
+    for n in numbers:
+        write_history(prices.filter(F.col("offset") % BATCHES == n), folder, "run", n)
+
+
+def append_keyed(spark, sf_dir):
+    """All ticks appended twice to a catalog table that takes each key once, and what it did not take."""
+    name = f"prices_{uuid.uuid4().hex}"
+    create_price_table(spark, name)
+    ticks = _by_hour(spark, sf_dir).withColumns({"company": F.col("symbol"), "market": F.lit("NASDAQ")})
+    ticks = ticks.withColumn("symbol", F.when(F.col("event_id") % 50 > 0, F.col("symbol")))
+    left = [append_prices(ticks, name).select("event_id", "reason").withColumn("turn", F.lit(n)) for n in (1, 2)]
+    stored = spark.table(name).select("symbol", "price", "timestamp", F.lit(0).alias("turn"), F.lit("stored").alias("reason"), F.lit(1).cast("bigint").alias("n"))
+    counts = left[0].unionByName(left[1]).groupBy("turn", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return stored.unionByName(counts, allowMissingColumns=True)
+
+
 # --- sampling -------------------------------------------------------------
 
 
@@ -376,6 +435,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "epoch_millis": epoch_millis_of_events,
         "legacy_upgrade": legacy_upgrade,
         "legacy_ingest": legacy_ingest,
+        "topic_offsets": topic_offsets,
         "topic_scan": topic_scan,
         "topic_resume": topic_resume,
         "topic_round_trip": topic_round_trip,
@@ -386,6 +446,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stamp_unique": stamp_unique,
         "ingest_table": ingest_table,
         "ingest_rejects": ingest_rejects,
+        "history_replay": history_replay,
+        "history_compact": history_compact,
+        "append_keyed": append_keyed,
         "quote_asof": quote_asof,
         "poll_sample": poll_sample,
         "poll_sample_bounded": poll_sample_bounded,
@@ -409,7 +472,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _MIXED = """
 mixed AS (
   SELECT event_id, user_id, ts, event_type, value,
-    CASE event_id % 10
+    CASE event_id % 20
       WHEN 0 THEN '{bad'
       WHEN 1 THEN '{"price":' || value || '}'
       WHEN 2 THEN '{"price":null,"symbol":"' || event_type || '"}'
@@ -418,6 +481,11 @@ mixed AS (
       WHEN 5 THEN '{"price":' || value || ',"symbol":"' || event_type || '","company":null,"market":"NYSE"}'
       WHEN 6 THEN '[1]'
       WHEN 7 THEN '{"price":true,"symbol":"' || event_type || '"}'
+      WHEN 8 THEN '{"symbol":"' || event_type || '"}'
+      WHEN 9 THEN '{"price":' || value || ',"symbol":null}'
+      WHEN 10 THEN '{"price":' || value || ',"symbol":{"a":"' || event_type || '"}}'
+      WHEN 11 THEN '{"price":' || value || ',"symbol":"' || event_type || '-too-long"}'
+      WHEN 12 THEN '{"price":' || value || ',"symbol":"' || event_type || '","market":[1]}'
       ELSE '{"price":' || value || ',"symbol":"' || event_type || '","company":"' || event_type || '","market":"NASDAQ"}'
     END AS raw
   FROM events
@@ -434,16 +502,19 @@ fields AS (
     CASE WHEN doc IS NULL THEN NULL WHEN json_exists(doc, '$.market') THEN doc->>'$.market' ELSE 'UNKNOWN' END AS market
   FROM docs
 ),
-judged AS (
+decoded AS (
   SELECT *,
     CASE WHEN NOT json_valid(raw) THEN 'malformed'
          WHEN doc IS NULL THEN 'not_object'
          WHEN NOT json_exists(doc, '$.symbol') THEN 'missing_symbol'
          WHEN NOT json_exists(doc, '$.price') THEN 'missing_price'
          WHEN price IS NULL THEN 'bad_price'
-         WHEN symbol IS NULL THEN 'null_symbol' END AS reason
+         WHEN json_type(doc, '$.symbol') IN ('OBJECT', 'ARRAY') THEN 'bad_symbol'
+         WHEN json_type(doc, '$.market') IN ('OBJECT', 'ARRAY') THEN 'bad_market'
+         WHEN symbol IS NULL THEN 'null_symbol' END AS unread
   FROM fields
-)
+),
+judged AS (SELECT *, coalesce(unread, CASE WHEN length(symbol) > 10 THEN 'too_long_symbol' END) AS reason FROM decoded)
 """
 
 _RECORDS = """
@@ -513,6 +584,24 @@ json_object('Price', value, 'Name', event_type, 'Timestamp', CAST(round_even(epo
 """
 
 
+def _legacy_sql(clock: str) -> str:
+    """``legacy_payload`` stamped with ``clock``: what each kind of message is to be read as."""
+    return f"""
+kinds AS (
+  SELECT *, event_id % {LEGACY_KINDS} AS kind,
+    make_timestamp(CAST(round_even(epoch_us({clock}) / 1000.0, 0) AS BIGINT) * 1000) AS clock,
+    CASE event_id % {LEGACY_KINDS} WHEN 3 THEN 'bad_timestamp' WHEN 4 THEN 'bad_timestamp' WHEN 5 THEN 'bad_symbol' WHEN 6 THEN 'null_symbol'
+      WHEN 8 THEN 'missing_price' WHEN 9 THEN 'bad_price' WHEN 10 THEN 'too_long_symbol' WHEN 11 THEN 'not_object'
+      WHEN 12 THEN 'missing_symbol' END AS reason
+  FROM events
+),
+legacy AS (
+  SELECT * EXCLUDE (event_type, value), CASE WHEN reason IS NULL THEN event_type END AS symbol,
+    CASE WHEN reason IS NULL THEN CASE WHEN kind = 7 THEN 1.0 ELSE value END END AS price
+  FROM kinds
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return (corpus.oracle_sql() if corpus else {}) | {
         "encode_ticks": """
@@ -520,7 +609,7 @@ SELECT event_id,
   CAST(json_object('price', value, 'symbol', event_type, 'company', event_type, 'market', 'NASDAQ') AS VARCHAR) AS value
 FROM events
 """,
-        "decode_ticks": f"WITH {_MIXED} SELECT event_id, price, symbol, company, market, reason FROM judged",
+        "decode_ticks": f"WITH {_MIXED} SELECT event_id, price, symbol, company, market, unread AS reason FROM judged",
         "valid_ticks": f"WITH {_MIXED} SELECT event_id, price, symbol, company, market FROM judged WHERE reason IS NULL",
         "reject_report": f"WITH {_MIXED} SELECT reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY reason",
         "price_coercion": """
@@ -540,33 +629,37 @@ FROM padded
 """,
         "legacy_encode": f"SELECT event_id, CAST({_V1_JSON} AS VARCHAR) AS value FROM events",
         "epoch_millis": "SELECT event_id, CAST(round_even(epoch_us(ts) / 1000.0, 0) AS BIGINT) AS millis FROM events",
-        "legacy_upgrade": """
-SELECT event_id, event_type AS symbol, value AS price,
-  make_timestamp(CAST(round_even(epoch_us(ts) / 1000.0, 0) AS BIGINT) * 1000) AS timestamp,
-  event_type AS company, 'UNKNOWN' AS market
-FROM events
+        "legacy_upgrade": f"""
+WITH {_legacy_sql("ts")}
+SELECT event_id, symbol, price, symbol AS company,
+  CASE WHEN reason IS NULL THEN CASE WHEN kind = 0 THEN 'NASDAQ' ELSE 'UNKNOWN' END END AS market,
+  CASE WHEN reason IS NULL AND kind NOT IN (0, 2) THEN clock END AS event_time, reason
+FROM legacy
 """,
-        "legacy_ingest": """
-WITH placed AS (
-  SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition,
-    row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset",
-    event_type AS symbol, date_trunc('minute', ts) AS minute
-  FROM events
+        "legacy_ingest": f"""
+WITH {_legacy_sql("date_trunc('minute', ts)")},
+placed AS (
+  SELECT *, CAST(user_id % 4 AS INTEGER) AS partition, row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset",
+    CASE WHEN kind IN (0, 2) THEN ts ELSE clock END AS time
+  FROM legacy
 ),
-firsts AS (
-  SELECT *, row_number() OVER (PARTITION BY symbol, minute ORDER BY partition, "offset") AS nth
-  FROM placed WHERE event_id % 2 = 0
-)
-SELECT partition, "offset", CASE WHEN nth = 1 THEN symbol END AS symbol, CASE WHEN nth = 1 THEN minute END AS timestamp,
+firsts AS (SELECT *, row_number() OVER (PARTITION BY symbol, time ORDER BY partition, "offset") AS nth FROM placed WHERE reason IS NULL)
+SELECT partition, "offset", CASE WHEN nth = 1 THEN symbol END AS symbol, CASE WHEN nth = 1 THEN time END AS timestamp,
   CASE WHEN nth > 1 THEN 'duplicate_key' END AS reason
 FROM firsts
 UNION ALL
-SELECT partition, "offset", NULL, NULL, 'null_timestamp' FROM placed WHERE event_id % 2 <> 0
+SELECT partition, "offset", NULL, NULL, reason FROM placed WHERE reason IS NOT NULL
 """,
-        "topic_scan": """
+        "topic_offsets": """
 SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition,
   row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset"
 FROM events
+""",
+        "topic_scan": """
+SELECT 'stockprice' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
+  row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset",
+  CAST(json_object('price', value, 'symbol', event_type, 'company', event_type, 'market', 'NASDAQ') AS VARCHAR) AS value
+FROM events
 """,
         "topic_resume": """
 WITH placed AS (
@@ -595,6 +688,18 @@ FROM events
 """,
         "ingest_table": _INGESTED,
         "ingest_rejects": _REJECTED,
+        "history_replay": _INGESTED,
+        "history_compact": _INGESTED,
+        "append_keyed": """
+WITH ticks AS (
+  SELECT CASE WHEN event_id % 50 > 0 THEN event_type END AS symbol, value AS price, date_trunc('hour', ts) AS timestamp FROM events
+),
+stored AS (SELECT symbol, min(price) AS price, timestamp FROM ticks WHERE symbol IS NOT NULL GROUP BY symbol, timestamp)
+SELECT symbol, price, timestamp, 0 AS turn, 'stored' AS reason, 1 AS n FROM stored
+UNION ALL SELECT NULL, NULL, NULL, turn, 'null_key', (SELECT count(*) FROM ticks WHERE symbol IS NULL) FROM (VALUES (1), (2)) v(turn)
+UNION ALL SELECT NULL, NULL, NULL, turn, 'duplicate_key',
+  (SELECT count(symbol) FROM ticks) - CASE turn WHEN 1 THEN (SELECT count(*) FROM stored) ELSE 0 END FROM (VALUES (1), (2)) v(turn)
+""",
         "quote_asof": f"""
 SELECT event_type AS symbol, value AS price, ts AS timestamp FROM events WHERE ts <= TIMESTAMP '{ASOF}'
 QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) = 1

@@ -1,6 +1,7 @@
 """Every registered query against its SQL, on whole tables."""
 
 import math
+import re
 from datetime import datetime
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 
 import __spark_entry__ as registered
 
-TABLES = ["events"]
+TABLES = ["events", "documents", "conversations"]
 
 
 @pytest.fixture(scope="module")
@@ -36,11 +37,16 @@ def normal(columns, rows):
     )
 
 
+#: The corpus queries; those without SQL are held against brute force in their own tests.
+CORPUS = {name for name in registered.queries() if re.match(r"op\d+_|pipeline$", name)}
+
+
 def test_every_query_has_its_sql():
-    assert registered.queries().keys() == registered.oracle_sql().keys()
+    assert registered.queries().keys() - CORPUS == registered.oracle_sql().keys() - CORPUS
+    assert registered.oracle_sql().keys() <= registered.queries().keys()
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", registered.oracle_sql())
 def test_query(spark, sf_dir, duck, name):
     df = registered.queries()[name](spark, sf_dir)
     got = normal(df.columns, [tuple(r) for r in df.collect()])

@@ -1,6 +1,7 @@
 """Streams against the batch plan; restarts and replays."""
 
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,7 @@ from tickwell.sources.events import mixed_payload, records_of
 from tickwell.sources.table import read_history, read_rejects, write_history
 from tickwell.sources.topic import append_topic, follow_topic, read_topic, to_messages, to_records, topic_ends
 from tickwell.streaming.ingest import start_ingest
-from tickwell.streaming.poll import start_poller
+from tickwell.streaming.poll import _placed, start_poller
 
 
 @pytest.fixture(scope="module")
@@ -196,3 +197,42 @@ def test_poller_sends_every_symbol_each_time(spark, scratch):
     assert all(r.market == "NASDAQ" for r in sent.collect())
     ends = {r.partition: r.end for r in topic_ends(read_topic(spark, f"{scratch}/topic")).collect()}
     assert sum(ends.values()) == 4
+
+
+def test_poison_times_stop_nothing(spark, scratch):
+    stamps = F.when(F.col("id") == 3, "9223372036854775807").when(F.col("id") == 4, "1700000000123000").otherwise(F.col("id").cast("string"))
+    messages = to_messages(spark.range(10), F.format_string('{"Price":%d,"Name":"AMZN","Timestamp":%s}', F.col("id"), stamps))
+    records = to_records(messages, F.lit(0), ["id"])
+    for clock in ("event_time", None):
+        append_topic(records, f"{scratch}/{clock}/topic")
+        job = Job(spark, f"{scratch}/{clock}", clock, legacy=True)
+        job.run()
+        assert job.history.count() == 8
+        assert [r.reason for r in job.rejects.collect()] == ["bad_timestamp"] * 2
+
+
+def test_poller_sends_without_new_ticks(spark, scratch):
+    spark.sql("SELECT 'A' AS symbol, 1D AS price, TIMESTAMP_NTZ'2024-01-01 00:00:01' AS timestamp").write.parquet(f"{scratch}/ticks")
+    stream = spark.readStream.schema("symbol STRING, price DOUBLE, timestamp TIMESTAMP_NTZ").parquet(f"{scratch}/ticks")
+    query = start_poller(stream, f"{scratch}/topic", f"{scratch}/progress", seconds=2, partitions=2)
+    try:
+        for _ in range(120):
+            time.sleep(0.5)
+            if read_topic(spark, f"{scratch}/topic").count() >= 4:
+                break
+    finally:
+        query.stop()
+    sent = read_topic(spark, f"{scratch}/topic").orderBy("offset").collect()
+    assert len(sent) >= 4
+    assert [r.offset for r in sent] == list(range(len(sent)))
+    assert all(b'"symbol":"A"' in bytes(r.value) for r in sent)
+
+
+def test_offsets_of_a_batch_have_no_gap(spark):
+    messages = to_messages(spark.range(3000).select(F.format_string("S%d", "id").alias("symbol")), F.lit("x"))
+    ends = spark.createDataFrame([(0, 7)], "partition INT, end BIGINT")
+    placed = _placed(messages, ends, 3)
+    found = {r.partition: (r.lo, r.hi, r.n) for r in placed.groupBy("partition").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.countDistinct("offset").alias("n")).collect()}
+    assert found[0][0] == 7 and found[1][0] == 0
+    assert all(hi - lo + 1 == n for lo, hi, n in found.values())
+    assert sum(n for *_, n in found.values()) == 3000

@@ -1,5 +1,5 @@
 import uuid
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.errors import PySparkException
@@ -9,11 +9,14 @@ from tickwell.plans import sql
 from tickwell.schema import PRICE_COLUMNS
 from tickwell.sources.table import (
     append_prices,
+    compact_history,
     create_price_table,
+    drop_merged,
     jdbc_options,
     only_missing,
     read_batch,
     read_history,
+    time_predicates,
     write_history,
 )
 
@@ -60,6 +63,56 @@ def test_history_batches_replace_themselves(spark, scratch):
     assert "PartitionFilters: [isnotnull(date" in one_day._jdf.queryExecution().executedPlan().toString()
 
 
+def test_the_table_takes_each_key_once(spark):
+    name = f"prices_{uuid.uuid4().hex}"
+    create_price_table(spark, name)
+    rows = prices(spark, ROW, ROW, ("A", 0.5, *ROW[2:]), (None, 1.0, *ROW[2:]), ("B", 2.0, None, "B", "X"), ("C", 3.0, *ROW[2:]))
+    left = [sorted((r.symbol or "", r.price, r.reason) for r in append_prices(rows, name).collect()) for _ in range(2)]
+    assert sorted((r.symbol, r.price) for r in spark.table(name).collect()) == [("A", 0.5), ("C", 3.0)]
+    no_key = [("", 1.0, "null_key"), ("B", 2.0, "null_key")]
+    assert left[0] == sorted([*no_key, ("A", 1.0, "duplicate_key"), ("A", 1.0, "duplicate_key")])
+    assert left[1] == sorted([*left[0], ("A", 0.5, "duplicate_key"), ("C", 3.0, "duplicate_key")])
+
+
+def test_merged_batches_count_once(spark, scratch):
+    path = f"{scratch}/history"
+    lineage = {"topic": F.lit("t"), "partition": F.lit(0), "offset": F.lit(0).cast("bigint")}
+    rows = [prices(spark, ("A", float(n), f"2024-01-0{1 + n % 3} 00:00:0{n}", "A", "X")).withColumns(lineage) for n in range(6)]
+
+    def write(n):
+        write_history(rows[n], path, "run", n)
+
+    def stored(**days):
+        return sorted(r.price for r in read_history(spark, path, **days).collect())
+
+    for n in range(5):
+        write(n)
+    compact_history(spark, path, date(2024, 1, 3))
+    assert stored() == [0, 1, 2, 3, 4]
+    write(1)  # a replay
+    assert stored() == [0, 1, 2, 3, 4]
+    drop_merged(spark, path)
+    assert stored() == [0, 1, 2, 3, 4]
+    assert stored(days=[date(2024, 1, 1)]) == [0, 3] and stored(days=[date(2024, 1, 3)]) == [2]
+    write(1)
+    write(5)
+    compact_history(spark, path, date(2024, 2, 1))
+    compact_history(spark, path, date(2024, 2, 1))
+    drop_merged(spark, path)
+    assert stored() == [0, 1, 2, 3, 4, 5]
+    assert read_history(spark, path).columns == read_history(spark, f"{scratch}/none").columns
+
+
+def test_a_merge_that_broke_off_counts_for_nothing(spark, scratch):
+    path = f"{scratch}/history"
+    lineage = {"topic": F.lit("t"), "partition": F.lit(0), "offset": F.lit(0).cast("bigint")}
+    write_history(prices(spark, ROW).withColumns(lineage), path, "run", 0)
+    compact_history(spark, path, date(2025, 1, 1))
+    lost = spark.read.parquet(f"{path}/_merged").withColumn("merge_id", F.lit("lost"))
+    lost.write.mode("append").partitionBy("merge_id", "date").parquet(f"{path}/_merged")
+    assert read_history(spark, path).count() == 1
+
+
 def test_parameters(spark):
     sql.register(prices(spark, ROW, ("B", 2.0, "2024-01-01 00:00:01", "B", "NYSE")), "some_prices")
     text = "SELECT price FROM IDENTIFIER(:t) WHERE symbol = :s"
@@ -77,3 +130,11 @@ def test_a_further_sink_gets_only_what_it_lacks(spark):
 def test_jdbc_options():
     options = jdbc_options("jdbc:postgresql://db/prices", "u", "p")
     assert options["dbtable"] == "stock_prices" and options["batchsize"] == "10000"
+
+
+def test_database_ranges_hold_every_row_once(spark):
+    bounds = [datetime(2024, 1, 2), datetime(2024, 1, 1), datetime(2024, 1, 3, 12)]
+    rows = spark.sql("SELECT CASE WHEN id < 9 THEN TIMESTAMP'2023-12-31' + make_interval(0, 0, 0, 0, int(id) * 12) END AS timestamp FROM range(10)")
+    parts = [rows.filter(p).count() for p in time_predicates(bounds)]
+    assert parts == [3, 2, 3, 2] and time_predicates([]) == ["1 = 1"]
+    assert sum(rows.filter(p).count() for p in time_predicates(bounds[:1])) == 10

@@ -1,7 +1,9 @@
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from tickwell.operators.sample import quote_asof
-from tickwell.operators.trends import market_rollup, market_summary, price_series, price_trend, tick_volume
+from tickwell.operators.trends import latest_price, market_rollup, market_summary, price_series, price_trend, tick_volume
 from tickwell.sources.events import ticks_of
 
 
@@ -27,7 +29,18 @@ def test_trends_combine_before_one_shuffle(spark, sf_dir):
     ticks = ticks_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
     for df in (price_trend(ticks), tick_volume(ticks)):
         assert plan(df).count("Exchange") == 1 and "partial_" in plan(df)
-    assert "SortAggregate" not in plan(price_trend(ticks))
+    last = [latest_price(ticks, "event_id"), quote_asof(ticks, "2024-01-15", "event_id"), price_trend(ticks, tie="event_id")]
+    for df in (price_trend(ticks), *last):
+        assert "SortAggregate" not in plan(df) and plan(df).count("HashAggregate") == 2
+
+
+def test_ties_are_settled_by_the_larger_id(spark):
+    rows = [("A", 1.0, 5, 0), ("A", 2.0, 5, -3), ("A", 3.0, 5, 2**62), ("A", 4.0, 4, 9), ("B", 5.0, -(2**50), -(2**63)), ("B", 6.0, -(2**50), 2**63 - 1)]
+    df = spark.createDataFrame(rows, "symbol STRING, price DOUBLE, t BIGINT, id BIGINT")
+    ticks = df.withColumn("timestamp", F.timestamp_micros("t").cast("timestamp_ntz"))
+    assert {r.symbol: r.price for r in latest_price(ticks, "id").collect()} == {"A": 3.0, "B": 6.0}
+    named = ticks.withColumn("id", F.lpad((F.col("id").cast("decimal(20,0)") + F.lit(Decimal(2**63))).cast("string"), 20, "0"))
+    assert {r.symbol: r.price for r in latest_price(named, "id").collect()} == {"A": 3.0, "B": 6.0}
 
 
 def test_not_a_number_prices(spark):

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.plans.slices import SLICE_ROWS, ranked
+from tickwell.plans.slices import ranked
 from tickwell.schema import LINEAGE, PRICE_KEY
 
 
@@ -38,7 +38,7 @@ def stamp_arrivals(
     within: list[str] | None = None,
     order: list[str] | None = None,
     latest: DataFrame | None = None,
-    slice_rows: int = SLICE_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add ``timestamp``: arrival time, distinct per symbol.
 
@@ -47,7 +47,7 @@ def stamp_arrivals(
     symbol's start behind the last stamp it already has. ``within`` names the group a
     rank is counted in, if one plan holds several batches.
     """
-    ranks = ranked(df.withColumn("_clock", base), within or ["symbol"], order or LINEAGE, "_nth", latest, slice_rows)
+    ranks = ranked(df.withColumn("_clock", base), within or ["symbol"], order or LINEAGE, "_nth", latest, slices)
     start = F.unix_micros(F.col("_clock").cast("timestamp"))
     if latest is not None:
         start = F.greatest(start, F.unix_micros(F.col("last").cast("timestamp")) + 1)

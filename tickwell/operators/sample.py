@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.functions.clock import moment
+from tickwell.functions.clock import arrival_order, moment
 from tickwell.schema import POLL_ITERATIONS, POLL_SECONDS
 
 #: Grid points generated per row and carried forward per task group.
@@ -19,13 +19,9 @@ def quote_asof(ticks: DataFrame, at: datetime | str, tie: str | None = None) ->
 
 
 def latest_quote(ticks: DataFrame, tie: str | None = None) -> DataFrame:
-    order = F.col("timestamp") if tie is None else F.struct("timestamp", tie)
-    quote = F.max_by(F.struct("price", "timestamp"), order)
-    return (
-        ticks.groupBy("symbol")
-        .agg(quote.alias("_quote"))
-        .select("symbol", F.col("_quote.price").alias("price"), F.col("_quote.timestamp").alias("timestamp"))
-    )
+    """Last price per symbol. Ticks without a time count for nothing but their symbol."""
+    last = F.max_by("price", arrival_order(ticks, tie))
+    return ticks.groupBy("symbol").agg(last.alias("price"), F.max("timestamp").alias("timestamp"))
 
 
 def poll_sample(
@@ -48,7 +44,7 @@ def poll_sample(
     origin = F.unix_micros(moment(start).cast("timestamp"))
     size = (points if isinstance(points, Column) else F.lit(points)).cast("bigint")
     step = seconds * 1_000_000
-    order = F.col("timestamp") if tie is None else F.struct("timestamp", tie)
+    order = arrival_order(ticks, tie)
 
     # The first grid point at or after the tick; ticks ahead of the grid count for its
     # first point, ticks behind it for the point past its end, which yields no row.

@@ -5,9 +5,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.functions.clock import moment
+from tickwell.functions.clock import arrival_order, moment
 from tickwell.operators.sample import latest_quote
-from tickwell.plans.slices import SLICE_ROWS, last_items, rows_before_slice, time_sliced
+from tickwell.plans.slices import last_items, rows_before_slice, sliced
 
 
 def price_series(
@@ -32,7 +32,7 @@ def price_trend(prices: DataFrame, bucket: str = "1 hour", tie: str | None = Non
 
     Pre-aggregated per task, so a hot symbol or bucket sends one row per task.
     """
-    order = F.col("timestamp") if tie is None else F.struct("timestamp", tie)
+    order = arrival_order(prices, tie)
     return (
         _bucketed(prices, bucket)
         .groupBy("bucket", "symbol")
@@ -65,7 +65,7 @@ def latest_price(prices: DataFrame, tie: str | None = None) -> DataFrame:
 
 
 def price_momentum(
-    prices: DataFrame, ticks: int = 20, tie: str | None = None, slice_rows: int = SLICE_ROWS
+    prices: DataFrame, ticks: int = 20, tie: str | None = None, slices: int | None = None
 ) -> DataFrame:
     """Moving average over the last ``ticks`` prices, and change from the previous one (our reading of "trend").
 
@@ -74,7 +74,7 @@ def price_momentum(
     """
     order = ["timestamp", *([tie] if tie else [])]
     columns = ["symbol", "price", *order]
-    cut = time_sliced(prices.select(*columns), "symbol", "timestamp", slice_rows)
+    cut = sliced(prices.select(*columns), ["symbol"], order, slices)
     before = rows_before_slice(cut, "symbol", order, "price", ticks - 1)
 
     here = Window.partitionBy("symbol", "_slice").orderBy(*order)

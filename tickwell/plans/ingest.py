@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tickwell.operators.keys import first_by_key, not_stored, stamp_arrivals
 from tickwell.operators.validate import accepted, judge, rejected
 from tickwell.schema import LINEAGE, PRICE_COLUMNS, REJECT_COLUMNS
+from tickwell.sources.scratch import kept
+
 
 class Settled(NamedTuple):
     """``prices``: the table's columns and the lineage. ``rejects``: every other record, with its reason."""
@@ -25,26 +27,39 @@ def settle_by_arrival(judged: DataFrame, base: Column, latest: DataFrame | None
     return Settled(stamped.select(*PRICE_COLUMNS, *LINEAGE), rejected(judged).select(*REJECT_COLUMNS))
 
 
-def settle_by_clock(judged: DataFrame, clock: str, history: DataFrame | None = None) -> Settled:
-    """Key accepted records by a time of their own, ``clock``; the first writer of a key wins."""
-    # A record without a time has no key.
+def on_clock(judged: DataFrame, clock: str) -> DataFrame:
+    """``judged`` with ``clock`` as its ``timestamp``; a record without a time has no key and is rejected."""
     timeless = F.col("reason").isNull() & F.col(clock).isNull()
-    timed = judged.withColumn("reason", F.when(timeless, "null_timestamp").otherwise(F.col("reason"))).withColumn(
+    return judged.withColumn("reason", F.when(timeless, "null_timestamp").otherwise(F.col("reason"))).withColumn(
         "timestamp", F.col(clock).cast("timestamp_ntz")
     )
-    good = accepted(timed).select(*PRICE_COLUMNS, *LINEAGE)
-    prices = first_by_key(good if history is None else not_stored(good, history))
 
-    # What is not stored is rejected: for its own reason, or as another record has its key.
-    left = timed.select(*REJECT_COLUMNS).join(prices.select(*LINEAGE), LINEAGE, "left_anti")
-    return Settled(prices, left.withColumn("reason", F.coalesce("reason", F.lit("duplicate_key"))))
 
+def first_prices(timed: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Accepted records whose key is new; the first writer of a key wins.
 
-def ingest(records: DataFrame, clock: str, history: DataFrame | None = None, legacy: bool = False) -> Settled:
-    """A whole table of topic records, keyed by ``clock``."""
-    return settle_by_clock(judge(records, legacy=legacy), clock, history)
+    Repeats go first, most of them before the shuffle, as the history takes whole keys.
+    """
+    first = first_by_key(accepted(timed).select(*PRICE_COLUMNS, *LINEAGE))
+    return first if history is None else not_stored(first, history)
+
+
+def left_over(timed: DataFrame, stored: DataFrame) -> DataFrame:
+    """Every record that is not stored: for its own reason, or as another record has its key.
+
+    Records with a reason of their own take no part in the join.
+    """
+    late = accepted(timed).select(*LINEAGE, "value").join(stored.select(*LINEAGE), LINEAGE, "left_anti")
+    return rejected(timed).select(*REJECT_COLUMNS).unionByName(late.withColumn("reason", F.lit("duplicate_key")))
+
+
+def settle_by_clock(judged: DataFrame, clock: str, history: DataFrame | None = None) -> Settled:
+    """Key accepted records by a time of their own, ``clock``. Pass ``judged`` kept, as both sides read it."""
+    timed = on_clock(judged, clock)
+    prices = first_prices(timed, history)
+    return Settled(prices, left_over(timed, prices))
 
 
-def counted(judged: DataFrame, name: str = "ingest") -> DataFrame:
-    """Count records and rejects while they pass, for a listener or an ``Observation`` called ``name``."""
-    return judged.observe(name, F.count(F.lit(1)).alias("records"), F.count("reason").alias("rejects"))
+def ingest(records: DataFrame, clock: str, history: DataFrame | None = None, legacy: bool = False) -> Settled:
+    """A whole table of topic records, keyed by ``clock``. Payloads are parsed once, at the call."""
+    return settle_by_clock(kept(judge(records, legacy=legacy)), clock, history)

@@ -1,9 +1,10 @@
 """Ordered work on groups of any size.
 
 A window over a whole group runs in one task, and one symbol may hold a third of all
-rows. The helpers here cut a group into slices of bounded size along its order, run
+rows. The helpers here cut the table into slices along its groups and their order, run
 the window per slice, and carry over from slice to slice what the window needs from
-before. Slices follow from the data alone, so a task that is run again cuts the same.
+before. Spark's range partitioning finds the cuts from a sample of the sort key, so
+they fall inside an instant, between sparse ids or within one crowded minute alike.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,16 +12,18 @@ from pyspark.sql import functions as F
 
 from tickwell.sources.scratch import kept
 
-#: Rows a single slice may hold by default; some hundred MB of narrow rows.
-SLICE_ROWS = 1_000_000
 
-#: Entries ``time_sliced`` has on a list at most.
-MOST_LARGE = 100_000
+def sliced(df: DataFrame, keys: list[str], order: list[str], slices: int | None = None) -> DataFrame:
+    """``df`` with ``_slice``, a number that rises along ``keys`` and ``order`` over the whole table.
 
-#: How much finer than its rows call for a part is cut in which ticks crowd.
-CROWDED = 64
-
-_HOUR_MICROS = 3_600_000_000
+    A slice is a range of the sorted table, of about as many rows as any other, however
+    uneven the groups are: one of ``slices``, or, if that is not given, what one task of
+    a shuffle gets (``spark.sql.shuffle.partitions``). ``order`` should tell the rows of
+    a group apart, as equal rows stay together. The rows are kept in the shared folder,
+    so that all uses of the result and all attempts of a task see the same slices.
+    """
+    cut = df.repartitionByRange(*([slices] if slices else []), *keys, *order)
+    return kept(cut.withColumn("_slice", F.spark_partition_id()))
 
 
 def ranked(
@@ -29,106 +32,43 @@ def ranked(
     order: list[str],
     name: str,
     per_group: DataFrame | None = None,
-    slice_rows: int = SLICE_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add ``name``: the 1-based position of each row in its group, without one task per group.
 
-    The last column of ``order`` must be an integer that is unique under the columns
-    before it, like an offset in its partition, so that ``slice_rows`` consecutive
-    values hold that many rows at most. ``keys`` and ``order`` must not be NULL.
-    Rows are shuffled once; the sizes of the slices are summed on the side, where
-    ``per_group`` (some of ``keys``, and columns to add) joins without moving the rows.
+    ``order`` must tell the rows of a group apart. The sizes of the slices are summed on
+    the side, where ``per_group`` (some of ``keys``, and columns to add) joins without
+    moving the rows; a group has no more rows there than there are slices.
     """
-    *lead, counter = order
-    slice_key = [*dict.fromkeys([*keys, *lead]), "_slice"]
-    sliced = df.withColumn("_slice", F.floor(F.col(counter) / F.lit(slice_rows)))
-
-    earlier = Window.partitionBy(*keys).orderBy(*lead, "_slice").rowsBetween(Window.unboundedPreceding, -1)
+    cut = sliced(df, keys, order, slices)
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
-        sliced.groupBy(*slice_key)
+        cut.groupBy(*keys, "_slice")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*slice_key, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+        .select(*keys, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
     )
     added = []
     if per_group is not None:
         on = [k for k in keys if k in per_group.columns]
         added = [c for c in per_group.columns if c not in on]
         bases = bases.join(per_group, on, "left")
-    within = Window.partitionBy(*slice_key).orderBy(counter)
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
     return (
-        sliced.withColumn("_at", F.row_number().over(within))
-        .join(bases, slice_key)
+        cut.withColumn("_at", F.row_number().over(within))
+        .join(bases, [*keys, "_slice"])
         .select(*df.columns, *added, (F.col("_base") + F.col("_at")).alias(name))
     )
 
 
-def time_sliced(df: DataFrame, key: str, clock: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Add ``_slice``: NULL for a small group, and for a large one a number that rises with ``clock``.
-
-    A group above ``slice_rows`` is cut by the hour, an hour above it into as many
-    equal parts as its rows call for, and a part still above it, where ticks crowd,
-    once more and ``CROWDED`` times finer. As a symbol has one price per microsecond at
-    most, no part is then left with more rows than the cube root of an hour's
-    microseconds times ``slice_rows`` squared by ``CROWDED``: 4 million by default.
-
-    Each group, hour and part on a list holds more than ``slice_rows`` rows, which is
-    raised with the table so that no list has more than ``MOST_LARGE`` entries: what is
-    broadcast cannot outgrow that, whatever the data.
-
-    Counts rows at once, with one job per level that turns out to be needed; without a
-    large group that is one count per group. The lists are kept, so that all uses of
-    the result, and all attempts of a task, see the same slices.
-    """
-    totals = kept(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
-    rows = totals.agg(F.sum("_n")).first()[0] or 0
-    enough = max(slice_rows, -(-rows // MOST_LARGE))
-    groups = totals.filter(F.col("_n") > enough).select(key)
-    if groups.isEmpty():
-        return df.withColumn("_slice", F.lit(None).cast("bigint"))
-
-    micros = F.unix_micros(F.col(clock).cast("timestamp"))
-    cut = df.withColumns(
-        {"_slice": F.floor(micros / F.lit(_HOUR_MICROS)) * _HOUR_MICROS, "_width": F.lit(_HOUR_MICROS).cast("bigint")}
-    )
-    inside = cut.join(F.broadcast(groups), key, "left_semi")
-    for finer in (1, CROWDED):
-        counts = inside.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-        large = kept(_parts(counts, key, enough, finer))
-        if large.isEmpty():
-            break
-        cut = _divided(cut, key, micros, large, "left")
-        inside = _divided(inside, key, micros, large, "inner")
-    return cut.join(F.broadcast(groups.withColumn("_large", F.lit(True))), key, "left").select(
-        *df.columns, F.when(F.col("_large"), F.col("_slice")).alias("_slice")
-    )
-
-
-def _parts(cells: DataFrame, key: str, enough: int, finer: int) -> DataFrame:
-    return cells.filter(F.col("_n") > enough).select(key, "_slice", F.ceil(F.col("_n") * finer / enough).alias("_parts"))
-
-
-def _divided(cells: DataFrame, key: str, micros: Column, large: DataFrame, how: str) -> DataFrame:
-    """Rows of the cells listed in ``large`` (bounded, see ``time_sliced``) moved to equal parts of their cell."""
-    columns = cells.columns
-    width = F.greatest(F.ceil(F.col("_width") / F.coalesce("_parts", F.lit(1))), F.lit(1))
-    return (
-        cells.join(F.broadcast(large), [key, "_slice"], how)
-        .withColumn("_width", width)
-        .withColumn("_slice", F.col("_slice") + F.floor((micros - F.col("_slice")) / F.col("_width")) * F.col("_width"))
-        .select(*columns)
-    )
-
-
-def rows_before_slice(sliced: DataFrame, key: str, order: list[str], value: str, rows: int) -> DataFrame:
-    """Per ``(key, _slice)`` of a cut group: ``_before``, the last ``rows`` values ahead of the slice, in order.
+def rows_before_slice(cut: DataFrame, key: str, order: list[str], value: str, rows: int) -> DataFrame:
+    """Per ``(key, _slice)``: ``_before``, the last ``rows`` values ahead of the slice, in order.
 
     Each slice gives at most ``rows`` of its own rows (kept per task before the
     shuffle), so the work per group is on its slices, not on its rows.
     """
     backwards = Window.partitionBy(key, "_slice").orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        sliced.filter(F.col("_slice").isNotNull())
-        .select(key, "_slice", *order, F.col(value).alias("_value"))
+        cut.select(key, "_slice", *order, F.col(value).alias("_value"))
         .withColumn("_last", F.row_number().over(backwards))
         .filter(F.col("_last") <= rows)
         .groupBy(key, "_slice")

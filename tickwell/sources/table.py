@@ -1,15 +1,18 @@
 """The price table: catalog table, replay-safe file history, and database options."""
 
+import uuid
 from collections.abc import Callable, Iterable
-from datetime import date
+from datetime import date, datetime
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwell.functions.clock import moment
-from tickwell.operators.keys import not_stored
-from tickwell.schema import LINEAGE, PRICE_COLUMNS, REJECT_COLUMNS, TABLE, price_columns_ddl
+from tickwell.operators.keys import first_by_key, not_stored
+from tickwell.schema import LINEAGE, PRICE_COLUMNS, PRICE_KEY, REJECT_COLUMNS, TABLE, price_columns_ddl
 from tickwell.sources.files import if_there
+from tickwell.sources.scratch import kept
 
 # --- catalog table --------------------------------------------------------
 
@@ -25,8 +28,21 @@ def create_price_table(spark: SparkSession, name: str = TABLE, reset: bool = Fal
     spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({price_columns_ddl()}) USING parquet", args={"name": name})
 
 
-def append_prices(prices: DataFrame, name: str = TABLE) -> None:
-    prices.select(*PRICE_COLUMNS).write.mode("append").insertInto(name)
+def append_prices(prices: DataFrame, name: str = TABLE, order: list[str] | None = None) -> DataFrame:
+    """Append the prices whose key is new to the table, and return the others with their ``reason``.
+
+    A row without a symbol or a time has no key (``null_key``). Of rows with one key the
+    first by ``order`` is taken, and none if the table holds the key; the others are
+    ``duplicate_key``. Both are settled on the rows as they are at the call.
+    """
+    stored = prices.sparkSession.table(name)
+    # Equal rows are told apart by where they are.
+    rows = kept(prices.withColumn("_row", F.monotonically_increasing_id()))
+    keyed = rows.dropna(subset=PRICE_KEY)
+    new = kept(not_stored(first_by_key(keyed, order=[*(order or ["price", "company", "market"]), "_row"]), stored))
+    new.select(*PRICE_COLUMNS).write.mode("append").insertInto(name)
+    reason = F.when(F.col("symbol").isNull() | F.col("timestamp").isNull(), "null_key").otherwise("duplicate_key")
+    return rows.join(new.select("_row"), "_row", "left_anti").drop("_row").withColumn("reason", reason)
 
 
 # --- file history ---------------------------------------------------------
@@ -64,13 +80,26 @@ HISTORY_DDL = (
     f"symbol STRING, price DOUBLE, timestamp TIMESTAMP_NTZ, company STRING, market STRING, "
     f"{_LINEAGE_DDL}, date DATE, {_BATCH_DDL}"
 )
+BATCH = ["date", "run_id", "batch_id"]
 REJECTS_DDL = f"{_LINEAGE_DDL}, value BINARY, reason STRING, {_BATCH_DDL}"
 
 
 def read_history(spark: SparkSession, path: str, days: Iterable[date] | None = None) -> DataFrame:
-    """Stored prices. With ``days``, the folders of other days are not even listed."""
-    where = path if days is None else _either(f"{path}/date=", sorted(d.isoformat() for d in days))
-    return _read(spark, path, where, HISTORY_DDL)
+    """Stored prices. With ``days``, the folders of other days are not even listed.
+
+    What ``compact_history`` merged is read from where it was merged to, also while its
+    batches' own folders are still there or come again with a replay.
+    """
+    listed = None if days is None else sorted(d.isoformat() for d in days)
+    apart = _read(spark, path, path if listed is None else _either(f"{path}/date=", listed), HISTORY_DDL)
+    done = _merged_batches(spark, path)
+    if done is None:
+        return apart
+    merged = spark.read.schema(f"{HISTORY_DDL}, merge_id STRING").parquet(f"{path}/_merged")
+    if listed is not None:
+        merged, done = (d.filter(F.col("date").isin(listed)) for d in (merged, done))
+    whole = merged.join(done.select("merge_id").distinct(), "merge_id", "left_semi").select(*apart.columns)
+    return apart.join(done, BATCH, "left_anti").select(*apart.columns).unionByName(whole)
 
 
 def read_batch(spark: SparkSession, path: str, run_id: str, batch_id: int) -> DataFrame:
@@ -78,6 +107,43 @@ def read_batch(spark: SparkSession, path: str, run_id: str, batch_id: int) -> Da
     return _read(spark, path, f"{path}/date=*/run_id={run_id}/batch_id={batch_id}", HISTORY_DDL)
 
 
+def compact_history(spark: SparkSession, path: str, before: date) -> None:
+    """Merge the batches of the days before ``before`` into few files per day, sorted by symbol and time.
+
+    The list of merged batches is written last. Until then nothing is merged; from then
+    on a merged batch counts once, wherever else it lies, so a replay adds nothing. Its
+    own folders may go: ``drop_merged``. Batches that come later to a merged day stay
+    apart until the next call. One call at a time; ingestion may go on meanwhile, as it
+    replays its last batch only, and that replay writes the same rows.
+    """
+    merge_id = uuid.uuid4().hex
+    open_ = read_history(spark, path).filter(F.col("date") < F.lit(before.isoformat()).cast("date"))
+    if (done := _merged_batches(spark, path)) is not None:
+        open_ = open_.join(done, BATCH, "left_anti")
+    batches = kept(open_.select(*BATCH).distinct())
+    rows = open_.join(batches, BATCH, "left_semi").withColumn("merge_id", F.lit(merge_id))
+    sorted_ = rows.hint("rebalance", "date").sortWithinPartitions("date", "symbol", "timestamp")
+    sorted_.write.mode("append").partitionBy("merge_id", "date").parquet(f"{path}/_merged")
+    batches.withColumn("merge_id", F.lit(merge_id)).coalesce(1).write.mode("append").parquet(f"{path}/_merged_batches")
+
+
+def drop_merged(spark: SparkSession, path: str) -> None:
+    """Delete the folders of merged batches. Call it when no reader from before the merge is at work."""
+    done = _merged_batches(spark, path)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for row in [] if done is None else done.toLocalIterator():
+        folder = files.Path(f"{path}/date={row.date}/run_id={row.run_id}/batch_id={row.batch_id}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
+def _merged_batches(spark: SparkSession, path: str) -> DataFrame | None:
+    """Merged batches of each day, or None if nothing was merged yet."""
+    ddl = f"date DATE, {_BATCH_DDL}, merge_id STRING"
+    done = if_there(spark, lambda: spark.read.schema(ddl).parquet(f"{path}/_merged_batches"), ddl)
+    return None if done.isEmpty() else done
+
+
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, path, REJECTS_DDL)
 
@@ -106,9 +172,24 @@ def jdbc_options(url: str, user: str, password: str, table: str = TABLE, batch_r
     }
 
 
-def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """Prices in a database; filters and column lists run there."""
-    return spark.read.format("jdbc").options(**options).load()
+def time_predicates(bounds: list[datetime]) -> list[str]:
+    """Conditions that part the rows by time: before the first bound or without a time, between bounds, from the last on."""
+    if not bounds:
+        return ["1 = 1"]
+    texts = [f"TIMESTAMP '{b.isoformat(sep=' ')}'" for b in sorted(bounds)]
+    between = [f"timestamp >= {a} AND timestamp < {b}" for a, b in pairwise(texts)]
+    return [f"timestamp < {texts[0]} OR timestamp IS NULL", *between, f"timestamp >= {texts[-1]}"]
+
+
+def read_jdbc(spark: SparkSession, options: dict[str, str], bounds: list[datetime] | None = None) -> DataFrame:
+    """Prices in a database; filters and column lists run there.
+
+    With ``bounds`` the ranges of time between them are read by a task and connection each.
+    """
+    if bounds is None:
+        return spark.read.format("jdbc").options(**options).load()
+    own = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=time_predicates(bounds), properties=own)
 
 
 def jdbc_sink(options: dict[str, str], connections: int = 16) -> Callable[[DataFrame, int], None]:

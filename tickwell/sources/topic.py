@@ -1,9 +1,11 @@
 """The message topic: Kafka options, and a file-backed topic with the same record shape."""
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.plans.slices import SLICE_ROWS, ranked
+from tickwell.plans.slices import ranked
 from tickwell.schema import CONSUMER_GROUP, TOPIC, TOPIC_RECORD
 from tickwell.sources.files import if_there
 
@@ -11,9 +13,16 @@ from tickwell.sources.files import if_there
 CREATE_TIME = 0
 
 
-def kafka_source_options(servers: str, topic: str = TOPIC, per_trigger: int | None = None) -> dict[str, str]:
-    """Options for ``readStream.format("kafka")``: from the start, unless the checkpoint knows better."""
-    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
+def kafka_source_options(
+    servers: str, topic: str = TOPIC, per_trigger: int | None = None, starting: dict[int, int] | None = None
+) -> dict[str, str]:
+    """Options for ``readStream.format("kafka")``: from the start, unless the checkpoint knows better.
+
+    ``starting`` holds offsets by partition, of all the topic's partitions, as Kafka's
+    source asks for; -2 stands for a partition's start, -1 for its end.
+    """
+    first = "earliest" if starting is None else json.dumps({topic: {str(p): o for p, o in starting.items()}})
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": first}
     if per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(per_trigger)
     return options
@@ -41,7 +50,7 @@ def to_records(
     topic: str = TOPIC,
     clock: Column | None = None,
     ends: DataFrame | None = None,
-    slice_rows: int = SLICE_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Give messages their place in a topic: a partition, and the next offset in it.
 
@@ -50,7 +59,7 @@ def to_records(
     record's stay.
     """
     messages = messages.withColumn("partition", partition.cast("int"))
-    placed = ranked(messages, ["partition"], order, "_nth", ends, slice_rows)
+    placed = ranked(messages, ["partition"], order, "_nth", ends, slices)
     end = F.lit(0) if ends is None else F.coalesce("end", F.lit(0))
     return placed.withColumns(
         {
@@ -88,6 +97,17 @@ def follow_topic(spark: SparkSession, path: str, files_per_trigger: int | None =
 def scan_topic(records: DataFrame, topic: str = TOPIC, starting: dict[int, int] | None = None) -> DataFrame:
     """Records of one topic, from given offsets on; a partition not named is read from its start."""
     picked = records.filter(F.col("topic") == topic)
-    for partition, offset in (starting or {}).items():
-        picked = picked.filter((F.col("partition") != partition) | (F.col("offset") >= offset))
-    return picked
+    if not starting:
+        return picked
+    first = F.map_from_arrays(*(F.lit([int(x) for x in xs]) for xs in (starting.keys(), starting.values())))
+    return picked.filter(F.col("offset") >= F.coalesce(F.try_element_at(first, F.col("partition")), F.lit(0)))
+
+
+def read_kafka(spark: SparkSession, servers: str, topic: str = TOPIC, starting: dict[int, int] | None = None, **options: str) -> DataFrame:
+    """A Kafka topic as a stream, from its start or, per partition, from given offsets; a checkpoint knows better."""
+    return spark.readStream.format("kafka").options(**kafka_source_options(servers, topic, starting=starting), **options).load()
+
+
+def write_kafka(messages: DataFrame, servers: str, topic: str = TOPIC) -> None:
+    """Append ``to_messages`` output to a Kafka topic."""
+    messages.select("key", "value").write.format("kafka").options(**kafka_sink_options(servers, topic)).save()

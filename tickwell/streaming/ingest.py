@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwell.functions.clock import moment
-from tickwell.operators.validate import judge
-from tickwell.plans.ingest import Settled, settle_by_arrival, settle_by_clock
+from tickwell.operators.validate import accepted, judge
+from tickwell.plans.ingest import Settled, first_prices, left_over, on_clock, settle_by_arrival
 from tickwell.sources.table import read_batch, read_history, write_history, write_rejects
 
 log = logging.getLogger(__name__)
@@ -54,15 +54,17 @@ def start_ingest(
             log.info("batch %d: %s", batch_id, {r.reason or "stored": r.n for r in counts})
             own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
 
-            def stored_on(days: list[date]) -> DataFrame:
+            def stored_on(days: list[date] | None = None) -> DataFrame:
                 return read_history(spark, history, days).filter(~own)
 
             if clock is None:
                 settled = _by_arrival(judged, counts, stamps, stored_on)
+                write_history(settled.prices, history, run_id, batch_id)
+                write_rejects(settled.rejects, rejects, run_id, batch_id)
             else:
-                settled = _by_clock(judged, clock, stored_on)
-            write_history(settled.prices, history, run_id, batch_id)
-            write_rejects(settled.rejects, rejects, run_id, batch_id)
+                timed = on_clock(judged, clock)
+                write_history(first_prices(timed, _on_days_of(timed, stored_on())), history, run_id, batch_id)
+                write_rejects(left_over(timed, read_batch(spark, history, run_id, batch_id)), rejects, run_id, batch_id)
             if also is not None:
                 also(read_batch(spark, history, run_id, batch_id), batch_id)
         finally:
@@ -102,12 +104,16 @@ def _by_arrival(
     return settle_by_arrival(judged, F.col("_arrived"), latest)
 
 
-def _by_clock(judged: DataFrame, clock: str, stored_on: Callable[[list[date]], DataFrame]) -> Settled:
-    """Of the history only the days that the batch's own times fall on are read."""
-    time = F.col(clock).cast("timestamp_ntz")
-    days = judged.filter(F.col("reason").isNull()).select(F.to_date(time).alias("day")).filter("day IS NOT NULL").distinct()
-    listed = [r.day for r in days.collect()]
-    return settle_by_clock(judged, clock, stored_on(listed) if listed else None)
+def _on_days_of(timed: DataFrame, history: DataFrame) -> DataFrame:
+    """The history on the days that the batch's own times fall on.
+
+    Producers' clocks bound neither their number nor their span, so the days stay a
+    table; only the first and the last, as texts, come to the driver, to prune by.
+    """
+    days = accepted(timed).select(F.to_date("timestamp").alias("date")).distinct()
+    span = days.agg(F.min("date").cast("string").alias("first"), F.max("date").cast("string").alias("last")).first()
+    between = F.col("date").between(F.lit(span["first"]).cast("date"), F.lit(span["last"]).cast("date"))
+    return history.filter(between).join(days, "date", "left_semi")
 
 
 def run_id_of(spark: SparkSession, checkpoint: str) -> str:

@@ -3,13 +3,15 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwell.functions.clock import arrival_order
 from tickwell.schema import PRICE_KEY
 
 
 def unique_stream(ticks: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """One tick per key, the first that comes; keys are remembered for ``late`` after their time.
+    """One tick per key; keys are remembered for ``late`` after their time.
 
-    For a stream that is not stored; ``start_ingest`` with a clock checks the whole history.
+    A tick of an earlier micro-batch goes before one of a later; which one is kept of
+    those that come in one micro-batch is open. For a stream that is not stored; ``start_ingest`` with a clock checks the whole history.
     """
     return (
         ticks.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
@@ -21,7 +23,7 @@ def unique_stream(ticks: DataFrame, late: str = "10 minutes") -> DataFrame:
 
 def trend_stream(ticks: DataFrame, bucket: str = "1 hour", late: str = "10 minutes", tie: str | None = None) -> DataFrame:
     """``price_trend`` over a stream of ticks; a bucket is emitted once no tick up to ``late`` may still change it."""
-    order = F.col("timestamp") if tie is None else F.struct("timestamp", tie)
+    order = arrival_order(ticks, tie)
     return (
         ticks.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
         .withWatermark("timestamp", late)
