@@ -8,11 +8,15 @@ moves no cut inside it. Longer chunks than ``most`` bytes are cut there.
 
 Dedup: chunks are deduplicated by a 128-bit digest among documents. The first document
 with a digest owns it, where it occurs first there; in every other document it is a copy.
-Owners and occurrences are found by counts that are combined per task before they are sent
-and by plain equi-joins, which Spark may split.
+Which digests more than one document has is found by their first halves, of which each
+task sends the first and the last document; occurrences of others are passed over by a
+Bloom filter of fixed size, and what it lets through meets the owners by plain equi-joins,
+which Spark may split. The filter only saves work: when it is full, the joins do it all.
 
 Spans: adjacent copies in a document whose owners are adjacent in one document too make up
-a span. The ``CONTEXT`` bytes around it are compared with those around its owner, and what
+a span. Runs of copies that could not reach ``least_words`` words even with both of the
+chunks around them are passed over: a passage that went on beyond these would take them
+in. The ``CONTEXT`` bytes around it are compared with those around its owner, and what
 agrees is taken in, so that the span grows to where the texts part. Spans of at least
 ``least_words`` whole words are reported, in the copy (kept false) and in its owner (kept
 true). A document's spans with one owner that overlap are one; its words are then those of
@@ -33,8 +37,12 @@ from xxhash import xxh3_128_digest
 from tickwell.llm.common import stored, utf8
 
 REACH, MOST, LEAST_WORDS = 24, 512, 50
+#: The filter of repeated digests takes 2**26 bits, 8 MB, whatever the corpus.
+FILTER_BITS = 26
+CHUNK = "doc_id long, start long, sizes long, hi long, lo long"
 #: Bytes to either side within which a passage goes on to its end or to the next chunk.
 CONTEXT = MOST + 32 + 2 * REACH
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 #: Fixed pseudo-random numbers, one per byte.
 GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -80,8 +88,20 @@ def ends(raw: bytes, reach: int = REACH, most: int = MOST) -> np.ndarray:
     return cuts[1:]
 
 
+def word_starts(raw: bytes) -> np.ndarray:
+    """How many words start before each place, up to the end."""
+    spaces = _SPACE[np.frombuffer(raw, np.uint8)]
+    return np.cumsum(np.r_[0, ~spaces & np.r_[True, spaces[:-1]]])
+
+
 def chunked(docs: DataFrame, reach: int = REACH, most: int = MOST) -> DataFrame:
-    """(doc_id, start, length, hi, lo) of every chunk; places are bytes of the text in UTF-8."""
+    """(doc_id, start, sizes, hi, lo) of every chunk; places are bytes of the text in UTF-8.
+
+    ``sizes`` are four numbers of 15 bits: the chunk's length, and at most how many words
+    it, the one before and the one after have.
+    """
+    if most >= 1 << 15:
+        raise ValueError("chunks of 32,767 bytes at most")
 
     def cut(batches):
         for batch in batches:
@@ -96,22 +116,63 @@ def chunked(docs: DataFrame, reach: int = REACH, most: int = MOST) -> DataFrame:
                     digests += [xxh3_128_digest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
                     owners.append(np.full(len(end), doc_id))
                     starts.append(start)
-                    sizes.append(end - start)
+                    before = word_starts(raw)
+                    words = before[end] - before[start] + 1
+                    sizes.append((end - start) | (words << 15) | (np.r_[0, words[:-1]] << 30) | (np.r_[words[1:], 0] << 45))
                 if owners:
                     halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                    columns = [np.concatenate(owners), np.concatenate(starts), np.concatenate(sizes).astype(np.int32), halves[:, 0].copy(), halves[:, 1].copy()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "start", "length", "hi", "lo"])
+                    columns = [np.concatenate(owners), np.concatenate(starts), np.concatenate(sizes), halves[:, 0].copy(), halves[:, 1].copy()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "sizes", "hi", "lo"])
 
     own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    return own.mapInArrow(cut, "doc_id long, start long, length int, hi long, lo long")
+    return own.mapInArrow(cut, CHUNK)
+
+
+def _size(n: int):
+    return F.shiftright("sizes", 15 * n).bitwiseAND(F.lit(0x7FFF))
+
+
+def filter_of(hashes: DataFrame) -> np.ndarray:
+    """A Bloom filter, one bit of 2**FILTER_BITS for each of the numbers ``hi``; its words reach the driver summed up."""
+    bit = F.col("hi").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = hashes.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(hi & 63))")).alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def maybe_in(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
+    return (filter_[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
 
 def copies(chunks: DataFrame) -> DataFrame:
     """Occurrences of chunks in documents other than their owner's, with the owner's place."""
-    shared = chunks.groupBy("hi", "lo").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").drop("last")
-    found = stored(chunks.join(shared, ["hi", "lo"]), "shared")
-    first = found.where("doc_id = owner").groupBy("hi", "lo").agg(F.min("start").alias("owner_start"))
-    return found.where("doc_id <> owner").join(first, ["hi", "lo"]).select("doc_id", "start", "length", "owner", "owner_start").distinct()
+    shared = stored(chunks.groupBy("hi").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("hi"), "shared")
+    filter_ = filter_of(shared)
+
+    def let_through(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(maybe_in(filter_, batch.column("hi").to_numpy())))
+
+    found = stored(chunks.mapInArrow(let_through, CHUNK).join(shared, "hi"), "found")
+    owned = found.groupBy("hi", "lo").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").drop("last")
+    both = found.join(owned, ["hi", "lo"])
+    first = both.where("doc_id = owner").groupBy("hi", "lo").agg(F.min("start").alias("owner_start"))
+    return both.where("doc_id <> owner").join(first, ["hi", "lo"]).select("doc_id", "start", "sizes", "owner", "owner_start").distinct()
+
+
+def wordy(copied: DataFrame, least_words: int) -> DataFrame:
+    """The copies in runs that may reach so many words with the chunks around them; ``length`` for ``sizes``."""
+    line = Window.partitionBy("doc_id").orderBy("start")
+    sized = copied.withColumns({"length": _size(0), "words": _size(1), "before": _size(2), "after": _size(3)}).drop("sizes")
+    apart = F.coalesce(F.lag(F.col("start") + F.col("length")).over(line) != F.col("start"), F.lit(True))
+    runs = sized.withColumn("new", apart.cast("int")).withColumn("run", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy("doc_id", "run")
+    along = run.orderBy("start").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    most = F.sum("words").over(run) + F.first("before").over(along) + F.last("after").over(along)
+    return runs.withColumn("most", most).where(F.col("most") >= least_words).select("doc_id", "start", "length", "owner", "owner_start")
 
 
 def spans(copied: DataFrame) -> DataFrame:
@@ -142,8 +203,7 @@ def surroundings(docs: DataFrame, places: DataFrame) -> DataFrame:
                 columns = [pa.array(before, pa.binary()), pa.array(after, pa.binary()), pa.array(words, pa.int64()), pa.array(first, pa.bool_()), pa.array(last, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["doc_id", "start", "end", "before", "after", "words", "first", "last"])
 
-    one = docs.select(F.col("doc_id").cast("long"), "text").join(places.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    wide = places.join(one, "doc_id").select("doc_id", "start", "end", "text")
+    wide = places.join(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id").select("doc_id", "start", "end", "text")
     return wide.mapInArrow(look, "doc_id long, start long, end long, before binary, after binary, words long, first boolean, last boolean")
 
 
@@ -186,7 +246,7 @@ def grown(places: DataFrame, least_words: int) -> DataFrame:
 
 def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, reach: int = REACH, most: int = MOST) -> DataFrame:
     """doc_id, start, length, words, owner, owner_start, kept of each repeated span; places in bytes."""
-    found = stored(spans(copies(stored(chunked(docs, reach, most), "chunks"))), "spans")
+    found = stored(spans(wordy(copies(stored(chunked(docs, reach, most), "chunks")), least_words)), "spans")
     owners = found.select(F.col("owner").alias("doc_id"), F.col("owner_start").alias("start"), (F.col("owner_start") + F.col("end") - F.col("start")).alias("end"))
     places = stored(surroundings(docs, found.select("doc_id", "start", "end").unionByName(owners).distinct()), "places")
     theirs = places.select(F.col("doc_id").alias("owner"), F.col("start").alias("owner_start"), F.col("end").alias("owner_end"), F.col("before").alias("owner_before"), F.col("after").alias("owner_after"))
