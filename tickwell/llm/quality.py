@@ -6,7 +6,7 @@ learnt from preference pairs, a better and a worse document each, by logistic lo
 difference of their features: P(a over b) = 1 / (1 + exp(score_b - score_a)), with an L2
 penalty, fitted by Newton's method.
 
-The fit sees at most ``sample`` labelled rows, those with the smallest hash of text and id;
+The fit sees a documented number of labelled rows, ``sample``, taken by a hash of their id;
 each row of the rarer label is paired with ``per_row`` rows of the other in turn. All
 documents are scored. The threshold is the quantile of the sample's scores below which the
 share of rows with label 0 lies, moved to the middle of the gap there; scores become
@@ -104,15 +104,26 @@ class Ranking:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def learn(labelled: DataFrame, sample: int = 20_000, cut: float = 0.3) -> Ranking:
-    """A ranking from at most ``sample`` of the rows (doc_id, text, quality)."""
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, cut: float = 0.3) -> Ranking:
+    """A ranking from ``sample`` labelled rows at most: all, or those with the smallest hash of their id.
 
-    @F.pandas_udf("array<double>")
+    The chosen labels, of at most ``sample`` rows, go to the documents. Features, not
+    texts, reach the driver.
+    """
+    marked = labels.where("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    share = min(1.0, sample / max(1, marked.count()))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    near = marked.where(place < F.lit(round(1.1 * share * (1 << 20)) + 64))
+    chosen = near.orderBy(place, "doc_id", "quality").limit(sample)
+
+    @F.pandas_udf("binary")
     def of(texts: pd.Series) -> pd.Series:
-        return texts.map(features)
+        return texts.map(lambda t: features(t).tobytes())
 
-    rows = labelled.where("quality IN (0, 1)").orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(sample)
-    return Ranking([(np.array(r.f), r.quality) for r in rows.select(of("text").alias("f"), "quality").toLocalIterator()], cut)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(of("text").alias("f"), "quality").toArrow()
+    # In an order of their own, so that the same rows make the same pairs.
+    pairs = sorted(zip(rows["f"].to_pylist(), rows["quality"].to_pylist(), strict=True))
+    return Ranking([(np.frombuffer(f, float), q) for f, q in pairs], cut)
 
 
 def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
@@ -128,5 +139,4 @@ def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
 
 def rank(docs: DataFrame, labels: DataFrame, training: Column) -> DataFrame:
     """doc_id, score of each row of ``docs``, learnt from the labels of the rows where ``training`` holds."""
-    labelled = docs.where(training).select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id")
-    return score(docs, learn(labelled))
+    return score(docs, learn(docs.where(training), labels))
