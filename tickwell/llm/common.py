@@ -15,8 +15,17 @@ from tickwell.sources.scratch import shared_folder
 _SHIPPED: set[str] = set()
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Makes this package known to Python workers wherever they start; Spark's driver serves the archive to them."""
+    """Makes this package known to Python workers wherever they start; Spark's driver serves the archive to them.
+
+    Texts go to them a thousand at a time, unless the session asks for another number than
+    Spark's own ten thousand, which is much for long texts.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

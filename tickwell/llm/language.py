@@ -58,7 +58,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 for text in texts:
                     parts.append(grams_of(text))
                     size += len(parts[-1])
-                    if size > 4_000_000:
+                    if size > 2_000_000:
                         yield packed(lang, parts)
                         parts, size = [], 0
                 if parts:
@@ -140,7 +140,7 @@ class Filters:
                 size += len(grams)
             else:
                 out[i] = (self.langs[self.fallback], 0.0)
-            if size > 2_000_000:
+            if size > 500_000:
                 settle()
                 size = 0
         if parts:

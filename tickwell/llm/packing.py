@@ -39,7 +39,7 @@ from tickwell.llm.common import stored, utf8
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bin_class long, worker long, number long"
 #: Distinct words whose ids a Python worker keeps, twice: those in use and those of before.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 160_000
 _TAIL = ".,;:!?"
 #: Fixed value: how a byte-level BPE of this kind cuts a text.
 _PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -85,7 +85,7 @@ class WordIds(dict):
         if ids is None:
             spelt = text.encode().decode("latin-1").translate(self.letters)
             ids = packed([t.id for t in self.model.tokenize(spelt)])
-            if len(self.pieces) >= KEPT_WORDS // 4:
+            if len(self.pieces) >= KEPT_WORDS // 2:
                 self.pieces.clear()
             self.pieces[text] = ids
         return ids
