@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from llm_tables import DOCS, clashing, components_of, odd_docs, odd_rows
+from llm_tables import DOCS, clashing, components_of, odd_docs, odd_rows, prose
 from tickwell.llm import graph, near
 
 
@@ -85,6 +85,17 @@ def test_first_of_each(spark):
     assert sorted(ids) == sorted({r.component_id for r in found.collect()})
 
 
+def test_null_and_repeated_ids_name_no_component(spark):
+    """Different texts stay, whether under null ids or under one repeated id."""
+    texts = [prose(3000 + i, 60) for i in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[3]), (8, texts[4]), (None, texts[4]), (9, texts[5])]
+    prints = [plain(t) for t in texts]
+    assert all((a ^ b).bit_count() > 4 for i, a in enumerate(prints) for b in prints[:i])
+    kept = near.first_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[4]), (9, texts[5])]
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted((i or 0, t) for i, t in want)
+
+
 def test_components_of_long_chains(spark):
     edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = graph.components(edges.unionByName(spark.createDataFrame([(900, 1000), (1000, 950), (5, 5)], "a long, b long")))

@@ -23,8 +23,9 @@ returns one link from each fingerprint to the smallest it hangs together with th
 components of these links are those of all links.
 
 Edge cases: a null text is an empty one (fingerprint zero). A fingerprint that only null
-ids bear is a component of its own, named null. Copies of a fingerprint are one vertex, named by its
-smallest doc_id. An empty table gives no rows. Columns other than doc_id and text are not
+ids bear is a component of its own, whose id is null. Copies of a fingerprint are one
+vertex, named by the fingerprint, so that different texts under one doc_id, or under none,
+stay apart; a component's id is its smallest doc_id. An empty table gives no rows. Columns other than doc_id and text are not
 read.
 """
 
@@ -194,24 +195,36 @@ def near_links(vertices: DataFrame, radius: int = RADIUS, cap: int = 20_000) ->
 
 
 def near_duplicates(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id) of rows (doc_id, fp)."""
+    """(fp, rep, component) of rows (doc_id, fp): each fingerprint, its smallest doc_id, its component's smallest fingerprint."""
     vertices = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "prints")
-    label = components(near_links(vertices.where("rep IS NOT NULL"), radius))
-    return vertices.join(label, vertices["rep"] == label["v"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    label = components(near_links(vertices.where("rep IS NOT NULL").select("fp", F.col("fp").alias("rep")), radius))
+    return vertices.join(label, vertices["fp"] == label["v"], "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
 
 
 def simhash_components(docs: DataFrame, size: int = SIZE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp (long), component_id of each row of ``docs``."""
     prints = stored(docs.select("doc_id", fingerprinter(size)("text").alias("fp")), "fingerprints")
-    return prints.join(near_duplicates(prints, radius), "fp").select("doc_id", "fp", "component_id")
+    found = stored(near_duplicates(prints, radius), "components")
+    named = found.join(found.groupBy("component").agg(F.min("rep").alias("component_id")), "component")
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def first_of_each(docs: DataFrame, size: int = SIZE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each component: its smallest doc_id, one of its rows if repeated."""
-    found = simhash_components(docs, size, radius)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("fp").alias("fp"), F.count("*").alias("n"))
-    n, own = free_name(docs, "n"), free_name(docs, "kept_id")
-    kept = kept.select(F.col("doc_id").alias(own), F.col("n").alias(n))
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept[own]))
-    single, repeated = rows.where(F.col(n) == 1), rows.where(F.col(n) > 1).dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).select(*docs.columns)
+    """``docs`` with one row of each component: its smallest doc_id (null if it has no other), one of its rows if repeated.
+
+    A row is named by doc_id and fingerprint; where one row alone has a doc_id, that suffices.
+    """
+    prints = stored(docs.select("doc_id", fingerprinter(size)("text").alias("fp")), "fingerprints")
+    best = near_duplicates(prints, radius).groupBy("component").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "fp")).alias("best"))
+    rows_of = prints.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    n, own, same = (free_name(docs, c) for c in ("n", "kept_id", "kept_fp"))
+    kept = best.select(F.col("best.rep").alias(own), F.col("best.fp").alias(same)).join(rows_of.withColumnRenamed("n", n), F.col(own) == F.col("doc_id"), "left").drop("doc_id")
+    kept = stored(kept.withColumn(n, F.coalesce(n, F.lit(2))), "kept")  # null ids are told apart by their fingerprint
+    lone, others = kept.where(F.col(n) == 1).drop(same), kept.where(F.col(n) > 1)
+    single = docs.join(lone, docs["doc_id"] == lone[own])
+    ids = others.where(F.col(own).isNotNull()).select(F.col(own).alias(own)).distinct()
+    doubtful = docs.join(ids, docs["doc_id"] == ids[own], "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    fp = free_name(docs, "fp")
+    printed = doubtful.withColumn(fp, fingerprinter(size)("text"))
+    repeated = printed.join(others, printed["doc_id"].eqNullSafe(others[own]) & (printed[fp] == others[same])).dropDuplicates(["doc_id", fp])
+    return single.select(*docs.columns).unionByName(repeated.select(*docs.columns))
