@@ -96,6 +96,13 @@ def test_null_and_repeated_ids_name_no_component(spark):
     assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted((i or 0, t) for i, t in want)
 
 
+def test_fingerprints_of_null_ids_link(spark):
+    """A null id's fingerprint joins what lies on both sides of it, and its rows are near copies too."""
+    prints = spark.createDataFrame([(1, 0), (None, 0b1111), (2, 0b11111111), (None, 1 << 62 | 0b11111111), (None, 0xFFFF << 40)], "doc_id long, fp long")
+    found = {r.fp: r for r in near.near_duplicates(prints).collect()}
+    assert {f: r.component for f, r in found.items()} == {0: 0, 0b1111: 0, 0b11111111: 0, 1 << 62 | 0b11111111: 0, 0xFFFF << 40: 0xFFFF << 40}
+
+
 def test_components_of_long_chains(spark):
     edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = graph.components(edges.unionByName(spark.createDataFrame([(900, 1000), (1000, 950), (5, 5)], "a long, b long")))

@@ -22,10 +22,10 @@ of its own, so a task's rows are bounded by twice the cap and no pair is lost. E
 returns one link from each fingerprint to the smallest it hangs together with there; the
 components of these links are those of all links.
 
-Edge cases: a null text is an empty one (fingerprint zero). A fingerprint that only null
-ids bear is a component of its own, whose id is null. Copies of a fingerprint are one
-vertex, named by the fingerprint, so that different texts under one doc_id, or under none,
-stay apart; a component's id is its smallest doc_id. An empty table gives no rows. Columns other than doc_id and text are not
+Edge cases: a null text is an empty one (fingerprint zero). Copies of a fingerprint
+are one vertex, named by the fingerprint, so that different texts under one doc_id, or
+under none, stay apart, and a fingerprint that only null ids bear links like any other. A
+component's id is its smallest doc_id, null if it has none. An empty table gives no rows. Columns other than doc_id and text are not
 read.
 """
 
@@ -197,7 +197,7 @@ def near_links(vertices: DataFrame, radius: int = RADIUS, cap: int = 20_000) ->
 def near_duplicates(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, rep, component) of rows (doc_id, fp): each fingerprint, its smallest doc_id, its component's smallest fingerprint."""
     vertices = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "prints")
-    label = components(near_links(vertices.where("rep IS NOT NULL").select("fp", F.col("fp").alias("rep")), radius))
+    label = components(near_links(vertices.select("fp", F.col("fp").alias("rep")), radius))
     return vertices.join(label, vertices["fp"] == label["v"], "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
 
 
