@@ -52,6 +52,18 @@ def test_passages_over_fifty_words(spark):
     assert {r.doc_id for r in found} == shared(rows)
 
 
+def test_passages_of_short_words(spark, monkeypatch):
+    """Several chunks at a passage's edges may depend on what is around it."""
+    rng = random.Random(11)
+    short = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 4))) for _ in range(n))
+    runs = [short(50 + i % 7) for i in range(300)]
+    rows = [(2 * i + k, f"{short(40)} {p} {short(40)}") for i, p in enumerate(runs) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(chunks.repeats(docs).collect())
+    monkeypatch.setattr(chunks, "wordy", lambda copied, n: copied.withColumn("length", chunks._size(0)).drop("sizes"))
+    assert found == sorted(chunks.repeats(docs).collect())
+
+
 def test_odd_rows(spark):
     rows = chunks.repeats(clashing(odd_docs(spark))).collect()
     assert {(r.doc_id, r.owner, r.kept) for r in rows} >= {(13, 12, False), (12, 12, True)}

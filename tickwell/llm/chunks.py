@@ -14,9 +14,11 @@ Bloom filter of fixed size, and what it lets through meets the owners by plain e
 which Spark may split. The filter only saves work: when it is full, the joins do it all.
 
 Spans: adjacent copies in a document whose owners are adjacent in one document too make up
-a span. Runs of copies that could not reach ``least_words`` words even with both of the
-chunks around them are passed over: a passage that went on beyond these would take them
-in. The ``CONTEXT`` bytes around it are compared with those around its owner, and what
+a span. Runs of copies that could not reach ``least_words`` words even with what may
+belong to the passage on both sides are passed over. A cut depends on 56 bytes before it
+and ``reach`` after it, so a passage begins at most 56 bytes before the chunk in front of
+a run, else that would be a copy too, and ends at most ``reach`` bytes after the chunk
+behind it; where the chunk in front begins at a cut for length, ``CONTEXT`` bytes count. The ``CONTEXT`` bytes around it are compared with those around its owner, and what
 agrees is taken in, so that the span grows to where the texts part. Spans of at least
 ``least_words`` whole words are reported, in the copy (kept false) and in its owner (kept
 true). A document's spans with one owner that overlap are one; its words are then those of
@@ -94,11 +96,20 @@ def word_starts(raw: bytes) -> np.ndarray:
     return np.cumsum(np.r_[0, ~spaces & np.r_[True, spaces[:-1]]])
 
 
+def margins(before: np.ndarray, start: np.ndarray, end: np.ndarray, reach: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most how many words a passage has before and after each chunk, if the chunks next to it are no copies."""
+    in_front = np.r_[0, start[:-1]]
+    by_length = np.r_[False, False, (end - start)[:-2] == most][: len(start)]
+    first = np.maximum(0, np.where(by_length, np.minimum(in_front - 32 - reach - 1, start - CONTEXT), in_front - 32 - reach - 1))
+    last = np.minimum(end[-1], np.r_[end[1:], end[-1]] + reach)
+    return before[start] - before[first] + 1, before[last] - before[end] + 1
+
+
 def chunked(docs: DataFrame, reach: int = REACH, most: int = MOST) -> DataFrame:
     """(doc_id, start, sizes, hi, lo) of every chunk; places are bytes of the text in UTF-8.
 
     ``sizes`` are four numbers of 15 bits: the chunk's length, and at most how many words
-    it, the one before and the one after have.
+    it has, and how many a passage may have before it and after it if it begins or ends a run.
     """
     if most >= 1 << 15:
         raise ValueError("chunks of 32,767 bytes at most")
@@ -118,7 +129,8 @@ def chunked(docs: DataFrame, reach: int = REACH, most: int = MOST) -> DataFrame:
                     starts.append(start)
                     before = word_starts(raw)
                     words = before[end] - before[start] + 1
-                    sizes.append((end - start) | (words << 15) | (np.r_[0, words[:-1]] << 30) | (np.r_[words[1:], 0] << 45))
+                    most_words = [np.minimum(w, 0x7FFF) for w in (words, *margins(before, start, end, reach, most))]
+                    sizes.append((end - start) | (most_words[0] << 15) | (most_words[1] << 30) | (most_words[2] << 45))
                 if owners:
                     halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                     columns = [np.concatenate(owners), np.concatenate(starts), np.concatenate(sizes), halves[:, 0].copy(), halves[:, 1].copy()]
@@ -164,7 +176,7 @@ def copies(chunks: DataFrame) -> DataFrame:
 
 
 def wordy(copied: DataFrame, least_words: int) -> DataFrame:
-    """The copies in runs that may reach so many words with the chunks around them; ``length`` for ``sizes``."""
+    """The copies in runs that may reach so many words with what is around them; ``length`` for ``sizes``."""
     line = Window.partitionBy("doc_id").orderBy("start")
     sized = copied.withColumns({"length": _size(0), "words": _size(1), "before": _size(2), "after": _size(3)}).drop("sizes")
     apart = F.coalesce(F.lag(F.col("start") + F.col("length")).over(line) != F.col("start"), F.lit(True))
