@@ -64,6 +64,22 @@ def test_passages_of_short_words(spark, monkeypatch):
     assert found == sorted(chunks.repeats(docs).collect())
 
 
+def test_reflowed_passages(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(40):
+        words = prose(4000 + i, 60 + i).split()
+        one = " ".join(words)
+        two = "".join(w + rng.choice([" ", "  ", "\n", " \r\n\t"]) for w in words)
+        rows += [(2 * i, f"{prose(5000 + i, 30)}  {one} {prose(6000 + i, 30)}"), (2 * i + 1, f"{prose(7000 + i, 20)}\n\n{two}{prose(8000 + i, 40)}")]
+    texts = {i: t.encode() for i, t in rows}
+    found = chunks.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == set(texts)
+    for r in found:
+        own = chunks.collapsed(texts[r.doc_id][r.start : r.start + r.length])
+        assert len(own.split()) >= 50 and chunks.collapsed(texts[r.owner][r.owner_start :]).startswith(own)
+
+
 def test_odd_rows(spark):
     rows = chunks.repeats(clashing(odd_docs(spark))).collect()
     assert {(r.doc_id, r.owner, r.kept) for r in rows} >= {(13, 12, False), (12, 12, True)}

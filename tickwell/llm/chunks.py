@@ -1,5 +1,8 @@
 """Substring dedup by content-defined chunking with a gear rolling hash.
 
+White space: each run of it counts as one space wherever texts are cut or compared, so a
+passage repeats whatever its line breaks are; places reported are those of the text itself.
+
 Chunks: over the bytes of a text with its white space made single spaces, the gear hash of
 a place is h = 2 * h + table[byte] modulo 2**32, so it knows the last 32 bytes only. A
 place whose hash is the smallest of the ``reach`` places on either side ends a chunk. Cuts
@@ -44,11 +47,26 @@ FILTER_BITS = 26
 CHUNK = "doc_id long, start long, sizes long, hi long, lo long"
 #: Bytes to either side within which a passage goes on to its end or to the next chunk.
 CONTEXT = MOST + 32 + 2 * REACH
+_PLAIN = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
 _SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 #: Fixed pseudo-random numbers, one per byte.
 GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
+def collapsed(raw: bytes) -> bytes:
+    """A text with each run of white space made one space."""
+    out = raw.translate(_PLAIN)
+    while b"  " in out:
+        out = out.replace(b"  ", b" ")
+    return out
+
+
+def places_of(raw: bytes) -> np.ndarray:
+    """Where each byte of the collapsed text is in the text, then the text's end."""
+    spaces = _SPACE[np.frombuffer(raw, np.uint8)]
+    return np.r_[np.flatnonzero(~(spaces & np.r_[False, spaces[:-1]])), len(raw)]
+
+
 def gear(data: np.ndarray) -> np.ndarray:
     """The rolling hash at each byte, by doubling the window: 1, 2, 4, ... 32 bytes."""
     h = GEAR[data]
@@ -106,7 +124,7 @@ def margins(before: np.ndarray, start: np.ndarray, end: np.ndarray, reach: int,
 
 
 def chunked(docs: DataFrame, reach: int = REACH, most: int = MOST) -> DataFrame:
-    """(doc_id, start, sizes, hi, lo) of every chunk; places are bytes of the text in UTF-8.
+    """(doc_id, start, sizes, hi, lo) of every chunk; places are bytes of the collapsed text in UTF-8.
 
     ``sizes`` are four numbers of 15 bits: the chunk's length, and at most how many words
     it has, and how many a passage may have before it and after it if it begins or ends a run.
@@ -122,6 +140,7 @@ def chunked(docs: DataFrame, reach: int = REACH, most: int = MOST) -> DataFrame:
                 for doc_id, raw in zip(part.column(0).to_pylist(), utf8(part.column(1)), strict=True):
                     if not raw:
                         continue
+                    raw = collapsed(raw)
                     end = ends(raw, reach, most)
                     start = np.r_[0, end[:-1]]
                     digests += [xxh3_128_digest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
@@ -201,22 +220,28 @@ def spans(copied: DataFrame) -> DataFrame:
 
 
 def surroundings(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """Adds to places (doc_id, start, end) what stands before and after, and the words between."""
+    """Adds to places (doc_id, start, end) of the collapsed text where they are in the text, what stands before and after there, and the words between."""
 
     def look(batches):
+        last, flat, at = None, b"", None
         for batch in batches:
             out = []
             texts = utf8(batch.column(3))
             for raw, a, b in zip(texts, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                core = raw[a:b]
-                out.append((raw[max(0, a - CONTEXT) : a], raw[b : b + CONTEXT], len(core.split()), not core[:1].isspace(), not core[-1:].isspace()))
+                if raw != last:
+                    last, flat = raw, collapsed(raw)
+                    at = range(len(raw) + 1) if len(flat) == len(raw) else places_of(raw)
+                core = flat[a:b]
+                own, far = (int(at[x]) for x in (a, b))
+                before, after = raw[int(at[max(0, a - CONTEXT)]) : own], raw[far : int(at[min(len(flat), b + CONTEXT)])]
+                out.append((own, far, before, after, len(core.split()), not core[:1].isspace(), not core[-1:].isspace()))
             if out:
-                before, after, words, first, last = zip(*out, strict=True)
-                columns = [pa.array(before, pa.binary()), pa.array(after, pa.binary()), pa.array(words, pa.int64()), pa.array(first, pa.bool_()), pa.array(last, pa.bool_())]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["doc_id", "start", "end", "before", "after", "words", "first", "last"])
+                types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.bool_()]
+                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["doc_id", "start", "end", "from", "to", "before", "after", "words", "first", "last"])
 
     wide = places.join(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id").select("doc_id", "start", "end", "text")
-    return wide.mapInArrow(look, "doc_id long, start long, end long, before binary, after binary, words long, first boolean, last boolean")
+    return wide.mapInArrow(look, "doc_id long, start long, end long, from long, to long, before binary, after binary, words long, first boolean, last boolean")
 
 
 def agreeing(a: bytes, b: bytes) -> int:
@@ -238,38 +263,52 @@ def whole_words(before: bytes, left: int, words: int, first: bool, last: bool, a
     return n - (bool(edge) and not edge.isspace() and not (tail[-1:].isspace() if tail else not last))
 
 
+#: ``start`` and ``end`` are places of the collapsed text, ``from`` and ``to`` of the text.
+SPAN = "doc_id long, start long, end long, owner long, owner_start long, words long, from long, to long, owner_from long, owner_to long"
+
+
 def grown(places: DataFrame, least_words: int) -> DataFrame:
     """Spans of enough words after they took in what agrees around them and their owner."""
+    names = [c.split()[0] for c in SPAN.split(", ")]
 
     def grow(batches):
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                left = agreeing(r["before"][::-1], r["owner_before"][::-1])
-                right = agreeing(r["after"], r["owner_after"])
-                n = whole_words(r["before"], left, r["words"], r["first"], r["last"], r["after"], right)
+                before, after, owner_before, owner_after = (collapsed(r[c]) for c in ("before", "after", "owner_before", "owner_after"))
+                left = agreeing(before[::-1], owner_before[::-1])
+                right = agreeing(after, owner_after)
+                n = whole_words(before, left, r["words"], r["first"], r["last"], after, right)
                 if n >= least_words:
-                    out.append((r["doc_id"], r["start"] - left, r["end"] + right, r["owner"], r["owner_start"] - left, n))
+                    edges = []
+                    for own, flat in (("", before), ("owner_", owner_before)):
+                        edges.append(r[own + "from"] - len(r[own + "before"]) + int(places_of(r[own + "before"])[len(flat) - left]))
+                        edges.append(r[own + "to"] + int(places_of(r[own + "after"])[right]))
+                    out.append((r["doc_id"], r["start"] - left, r["end"] + right, r["owner"], r["owner_start"] - left, n, *edges))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc_id", "start", "end", "owner", "owner_start", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
 
-    return places.mapInArrow(grow, "doc_id long, start long, end long, owner long, owner_start long, words long")
+    return places.mapInArrow(grow, SPAN)
+
+
+def islands(found: DataFrame) -> DataFrame:
+    """Spans of a document with one owner that overlap as one; ``words`` is then the largest of theirs."""
+    line = Window.partitionBy("doc_id", "owner", F.col("owner_start") - F.col("start")).orderBy("start")
+    reached = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = found.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn("island", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    edges = [*[F.min(c).alias(c) for c in ("start", "owner_start", "from", "owner_from")], *[F.max(c).alias(c) for c in ("end", "words", "to", "owner_to")]]
+    return numbered.groupBy("doc_id", "owner", (F.col("owner_start") - F.col("start")).alias("shift"), "island").agg(*edges).drop("island", "shift")
 
 
 def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, reach: int = REACH, most: int = MOST) -> DataFrame:
-    """doc_id, start, length, words, owner, owner_start, kept of each repeated span; places in bytes."""
+    """doc_id, start, length, words, owner, owner_start, kept of each repeated span; places in bytes of the text."""
     found = stored(spans(wordy(copies(stored(chunked(docs, reach, most), "chunks")), least_words)), "spans")
     owners = found.select(F.col("owner").alias("doc_id"), F.col("owner_start").alias("start"), (F.col("owner_start") + F.col("end") - F.col("start")).alias("end"))
     places = stored(surroundings(docs, found.select("doc_id", "start", "end").unionByName(owners).distinct()), "places")
-    theirs = places.select(F.col("doc_id").alias("owner"), F.col("start").alias("owner_start"), F.col("end").alias("owner_end"), F.col("before").alias("owner_before"), F.col("after").alias("owner_after"))
+    theirs = places.select(F.col("doc_id").alias("owner"), *[F.col(c).alias(f"owner_{c}") for c in ("start", "end", "from", "to", "before", "after")])
     both = found.withColumn("owner_end", F.col("owner_start") + F.col("end") - F.col("start")).join(places, ["doc_id", "start", "end"]).join(theirs, ["owner", "owner_start", "owner_end"])
-    long_ = grown(both, least_words)
-    line = Window.partitionBy("doc_id", "owner", F.col("owner_start") - F.col("start")).orderBy("start")
-    reached = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
-    numbered = long_.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn("island", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    whole = stored(
-        numbered.groupBy("doc_id", "owner", (F.col("owner_start") - F.col("start")).alias("shift"), "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("words").alias("words")).drop("island"), "repeats"
-    )
-    copy = whole.select("doc_id", "start", (F.col("end") - F.col("start")).alias("length"), "words", "owner", (F.col("start") + F.col("shift")).alias("owner_start"), F.lit(False).alias("kept"))
-    own = copy.select(F.col("owner").alias("doc_id"), F.col("owner_start").alias("start"), "length", "words", "owner", "owner_start", F.lit(True).alias("kept")).distinct()
-    return copy.unionByName(own)
+    whole = stored(islands(grown(both, least_words)), "repeats")
+    length, owner_length = F.col("to") - F.col("from"), F.col("owner_to") - F.col("owner_from")
+    copy = whole.select("doc_id", F.col("from").alias("start"), length.alias("length"), "words", "owner", F.col("owner_from").alias("owner_start"), F.lit(False).alias("kept"))
+    own = whole.select(F.col("owner").alias("doc_id"), F.col("owner_from").alias("start"), owner_length.alias("length"), "words", "owner", F.col("owner_from").alias("owner_start"), F.lit(True).alias("kept"))
+    return copy.unionByName(own.distinct())
