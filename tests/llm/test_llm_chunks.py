@@ -80,6 +80,22 @@ def test_reflowed_passages(spark):
         assert len(own.split()) >= 50 and chunks.collapsed(texts[r.owner][r.owner_start :]).startswith(own)
 
 
+def test_passages_whose_parts_came_earlier(spark):
+    """Chunks of a passage belong to documents that have less of it than later ones share."""
+    rows = []
+    for i in range(15):
+        words = prose(9000 + i, 60).split()
+        parts = [words[:40], words[20:], words, words]
+        rows += [(10 * i + k, f"{prose(9100 + 10 * i + k, 30)} {' '.join(p)} {prose(9500 + 10 * i + k, 30)}") for k, p in enumerate(parts)]
+    texts = {i: t.encode() for i, t in rows}
+    found = chunks.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == shared(rows) == {10 * i + k for i in range(15) for k in (2, 3)}
+    for r in found:
+        own = texts[r.doc_id][r.start : r.start + r.length]
+        assert own == texts[r.owner][r.owner_start : r.owner_start + r.length]
+        assert len(own.split()) >= r.words >= 60
+
+
 def test_odd_rows(spark):
     rows = chunks.repeats(clashing(odd_docs(spark))).collect()
     assert {(r.doc_id, r.owner, r.kept) for r in rows} >= {(13, 12, False), (12, 12, True)}

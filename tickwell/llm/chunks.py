@@ -27,6 +27,14 @@ agrees is taken in, so that the span grows to where the texts part. Spans of at
 true). A document's spans with one owner that overlap are one; its words are then those of
 the longest that was compared at once.
 
+Windows: a chunk's owner may have less of a passage than later documents share. Where a
+run of copies has a chunk that no reported span takes in, all windows of ``least_words``
+words in and around the run are hashed, and one more pass over the texts looks for these
+hashes, sent to all tasks as another filter of fixed size. Windows that it lets through
+are deduplicated as chunks were, by digest, each with a first document of its own, so that
+documents which share a passage meet. Adjacent windows with one owner make up a span; it
+reaches as far as that owner is their first document.
+
 Edge cases: null and empty texts have no chunk. A text too short for a cut is one chunk.
 Rows with a null doc_id have no place that could be named and are left out. Rows repeated
 with their id are one document. What repeats within one document only is no repeat. An
@@ -34,6 +42,7 @@ empty table gives no rows. Columns other than doc_id and text are not read.
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +60,10 @@ _PLAIN = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
 _SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 #: Fixed pseudo-random numbers, one per byte.
 GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
+BYTES = np.random.default_rng(21).integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
+#: An odd number and its inverse modulo 2**64: bases of the hash of windows.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def collapsed(raw: bytes) -> bytes:
@@ -219,6 +232,97 @@ def spans(copied: DataFrame) -> DataFrame:
     return edges.drop("span")
 
 
+def windows(flat: bytes, n: int, at_once: int = 1 << 16):
+    """Arrays (word, start, end, hash) of each n words in a row of a collapsed text, so many windows at a time."""
+    space = np.frombuffer(flat, np.uint8) == 32
+    starts = np.flatnonzero(~space & np.r_[True, space[:-1]])
+    stops = np.flatnonzero(~space & np.r_[space[1:], True]) + 1
+    for i in range(0, len(starts) - n + 1, at_once):
+        start = starts[i : min(i + at_once, len(starts) - n + 1)]
+        end = stops[i + n - 1 : i + n - 1 + len(start)]
+        data = np.frombuffer(flat, np.uint8)[start[0] : end[-1]]
+        powers, inverses = (np.cumprod(np.r_[np.uint64(1), np.full(len(data) - 1, b, np.uint64)]) for b in (BASE, INVERSE))
+        sums = np.r_[np.uint64(0), np.cumsum(BYTES[data] * powers)]
+        h = (sums[end - start[0]] - sums[start - start[0]]) * inverses[start - start[0]]
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(BASE)
+        yield np.arange(i, i + len(start)), start, end, (h ^ (h >> np.uint64(29))).view(np.int64)
+
+
+def left_over(copied: DataFrame, reported: DataFrame) -> DataFrame:
+    """(doc_id, runs) of the runs of copies (start, end) that have a chunk in no reported span."""
+    line = Window.partitionBy("doc_id").orderBy("start", F.desc("span")).rowsBetween(Window.unboundedPreceding, 0)
+    each = copied.select("doc_id", "start", (F.col("start") + F.col("length")).alias("end"), F.lit(0).alias("span"))
+    both = each.distinct().unionByName(reported.select("doc_id", "start", "end", F.lit(1).alias("span")))
+    marked = both.withColumn("reach", F.max(F.when(F.col("span") == 1, F.col("end"))).over(line)).where("span = 0")
+    own = Window.partitionBy("doc_id").orderBy("start")
+    apart = F.coalesce(F.lag("end").over(own) != F.col("start"), F.lit(True))
+    numbered = marked.withColumn("new", apart.cast("int")).withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = numbered.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max(F.coalesce(F.col("reach") < F.col("end"), F.lit(True))).alias("open"))
+    return runs.where("open").groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+
+
+def windows_around(docs: DataFrame, runs: DataFrame, n: int) -> DataFrame:
+    """Hashes ``hi`` of the windows in and around the runs."""
+    few = filter_of(runs.select(F.xxhash64("doc_id").alias("hi")))
+
+    @F.pandas_udf("boolean")
+    def named(hashes: pd.Series) -> pd.Series:
+        return pd.Series(maybe_in(few, hashes.to_numpy()))
+
+    def look(batches):
+        for batch in batches:
+            for raw, own in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                low, high = (np.array(sorted(r[c] for r in own)) for c in ("start", "end"))
+                for _, start, end, h in windows(collapsed(raw), n):
+                    # Runs lie apart, so the last that begins before a window's end reaches furthest.
+                    last = np.searchsorted(low - CONTEXT, end, side="left") - 1
+                    near = (last >= 0) & (high[last] + CONTEXT > start)
+                    if near.any():
+                        yield pa.RecordBatch.from_arrays([pa.array(h[near], pa.int64())], names=["hi"])
+
+    own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
+    return own.where(named(F.xxhash64("doc_id"))).join(runs, "doc_id").select("text", "runs").mapInArrow(look, "hi long").distinct()
+
+
+def windows_found(docs: DataFrame, filter_: np.ndarray, n: int) -> DataFrame:
+    """Each window whose hash the filter lets through: its place, its first word's number, its digest."""
+    names = ["doc_id", "start", "end", "word", "from", "to", "hi", "lo"]
+
+    def look(batches):
+        for batch in batches:
+            for doc_id, raw in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
+                flat = collapsed(raw)
+                at = None
+                for word, start, end, h in windows(flat, n):
+                    hit = maybe_in(filter_, h)
+                    if not hit.any():
+                        continue
+                    if at is None:
+                        at = np.arange(len(raw) + 1) if len(flat) == len(raw) else places_of(raw)
+                    word, start, end = word[hit], start[hit], end[hit]
+                    halves = np.frombuffer(b"".join(xxh3_128_digest(flat[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)), "<i8").reshape(-1, 2)
+                    columns = [np.full(len(word), doc_id), start, end, word, at[start], at[end - 1] + 1, halves[:, 0].copy(), halves[:, 1].copy()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
+    return own.mapInArrow(look, ", ".join(f"{c} long" for c in names))
+
+
+def of_windows(found: DataFrame, n: int) -> DataFrame:
+    """Spans, as ``grown`` gives them, of windows in documents other than their first one."""
+    place = F.struct("doc_id", "start", "from", "to")
+    owned = found.groupBy("hi", "lo").agg(F.min(place).alias("o"), F.max("doc_id").alias("last")).where("o.doc_id < last")
+    owner = [F.col("o.doc_id").alias("owner"), F.col("o.start").alias("owner_start"), F.col("o.from").alias("owner_from"), F.col("o.to").alias("owner_to")]
+    copied = found.join(owned.select("hi", "lo", *owner), ["hi", "lo"]).where("doc_id <> owner").drop("hi", "lo")
+    line = Window.partitionBy("doc_id", "owner", F.col("owner_start") - F.col("start")).orderBy("start")
+    reached = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = copied.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn("island", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    edges = [*[F.min(c).alias(c) for c in ("start", "owner_start", "from", "owner_from")], *[F.max(c).alias(c) for c in ("end", "to", "owner_to")]]
+    words = (F.max("word") - F.min("word") + n).cast("long").alias("words")
+    whole = numbered.groupBy("doc_id", "owner", (F.col("owner_start") - F.col("start")).alias("shift"), "island").agg(*edges, words)
+    return whole.select(*[c.split()[0] for c in SPAN.split(", ")])
+
+
 def surroundings(docs: DataFrame, places: DataFrame) -> DataFrame:
     """Adds to places (doc_id, start, end) of the collapsed text where they are in the text, what stands before and after there, and the words between."""
 
@@ -302,12 +406,18 @@ def islands(found: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, reach: int = REACH, most: int = MOST) -> DataFrame:
     """doc_id, start, length, words, owner, owner_start, kept of each repeated span; places in bytes of the text."""
-    found = stored(spans(wordy(copies(stored(chunked(docs, reach, most), "chunks")), least_words)), "spans")
+    copied = stored(wordy(copies(stored(chunked(docs, reach, most), "chunks")), least_words), "copied")
+    found = stored(spans(copied), "spans")
     owners = found.select(F.col("owner").alias("doc_id"), F.col("owner_start").alias("start"), (F.col("owner_start") + F.col("end") - F.col("start")).alias("end"))
     places = stored(surroundings(docs, found.select("doc_id", "start", "end").unionByName(owners).distinct()), "places")
     theirs = places.select(F.col("doc_id").alias("owner"), *[F.col(c).alias(f"owner_{c}") for c in ("start", "end", "from", "to", "before", "after")])
     both = found.withColumn("owner_end", F.col("owner_start") + F.col("end") - F.col("start")).join(places, ["doc_id", "start", "end"]).join(theirs, ["owner", "owner_start", "owner_end"])
     whole = stored(islands(grown(both, least_words)), "repeats")
+    runs = stored(left_over(copied, whole), "runs")
+    if not runs.isEmpty():
+        filter_ = filter_of(windows_around(docs, runs, least_words))
+        more = of_windows(stored(windows_found(docs, filter_, least_words), "windows"), least_words)
+        whole = stored(islands(whole.unionByName(more)), "whole")
     length, owner_length = F.col("to") - F.col("from"), F.col("owner_to") - F.col("owner_from")
     copy = whole.select("doc_id", F.col("from").alias("start"), length.alias("length"), "words", "owner", F.col("owner_from").alias("owner_start"), F.lit(False).alias("kept"))
     own = whole.select(F.col("owner").alias("doc_id"), F.col("owner_from").alias("start"), owner_length.alias("length"), "words", "owner", F.col("owner_from").alias("owner_start"), F.lit(True).alias("kept"))
