@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from tickwell.llm.common import stored, utf8
+from tickwell.llm.common import batches_of, stored, utf8
 
 REACH, MOST, LEAST_WORDS = 24, 512, 50
 #: The filter of repeated digests takes 2**26 bits, 8 MB, whatever the corpus.
@@ -290,7 +290,8 @@ def windows_found(docs: DataFrame, filter_: np.ndarray, n: int) -> DataFrame:
 
     def look(batches):
         for batch in batches:
-            for doc_id, raw in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
+            for row, doc_id in enumerate(batch.column(0).to_pylist()):
+                raw = utf8(batch.column(1).slice(row, 1))[0]
                 flat = collapsed(raw)
                 at = None
                 for word, start, end, h in windows(flat, n):
@@ -301,11 +302,15 @@ def windows_found(docs: DataFrame, filter_: np.ndarray, n: int) -> DataFrame:
                         at = np.arange(len(raw) + 1) if len(flat) == len(raw) else places_of(raw)
                     word, start, end = word[hit], start[hit], end[hit]
                     halves = np.frombuffer(b"".join(xxh3_128_digest(flat[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)), "<i8").reshape(-1, 2)
-                    columns = [np.full(len(word), doc_id), start, end, word, at[start], at[end - 1] + 1, halves[:, 0].copy(), halves[:, 1].copy()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+                    columns = [np.full(len(word), doc_id), start, end, word, at[start], at[end - 1] + 1, halves[:, 0], halves[:, 1]]
+                    yield [c.tolist() for c in columns]
+
+    def run(batches):
+        return batches_of(gathered(look(batches)), names, [pa.int64()] * len(names))
+
 
     own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    return own.mapInArrow(look, ", ".join(f"{c} long" for c in names))
+    return own.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def of_windows(found: DataFrame, n: int) -> DataFrame:
@@ -325,27 +330,42 @@ def of_windows(found: DataFrame, n: int) -> DataFrame:
 
 def surroundings(docs: DataFrame, places: DataFrame) -> DataFrame:
     """Adds to places (doc_id, start, end) of the collapsed text where they are in the text, what stands before and after there, and the words between."""
+    names = ["doc_id", "start", "end", "from", "to", "before", "after", "words", "first", "last"]
+    types = [*[pa.int64()] * 5, pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.bool_()]
 
     def look(batches):
-        last, flat, at = None, b"", None
         for batch in batches:
-            out = []
-            texts = utf8(batch.column(3))
-            for raw, a, b in zip(texts, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if raw != last:
-                    last, flat = raw, collapsed(raw)
-                    at = range(len(raw) + 1) if len(flat) == len(raw) else places_of(raw)
-                core = flat[a:b]
-                own, far = (int(at[x]) for x in (a, b))
-                before, after = raw[int(at[max(0, a - CONTEXT)]) : own], raw[far : int(at[min(len(flat), b + CONTEXT)])]
-                out.append((own, far, before, after, len(core.split()), not core[:1].isspace(), not core[-1:].isspace()))
-            if out:
-                types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.bool_()]
-                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["doc_id", "start", "end", "from", "to", "before", "after", "words", "first", "last"])
-
-    wide = places.join(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id").select("doc_id", "start", "end", "text")
-    return wide.mapInArrow(look, "doc_id long, start long, end long, from long, to long, before binary, after binary, words long, first boolean, last boolean")
+            for row in range(len(batch)):
+                doc_id, raw = batch.column(0)[row].as_py(), utf8(batch.column(1).slice(row, 1))[0]
+                flat = collapsed(raw)
+                at = range(len(raw) + 1) if len(flat) == len(raw) else places_of(raw)
+                out = []
+                for place in batch.column(2)[row].as_py():
+                    a, b = place["start"], place["end"]
+                    core = flat[a:b]
+                    own, far = (int(at[x]) for x in (a, b))
+                    before, after = raw[int(at[max(0, a - CONTEXT)]) : own], raw[far : int(at[min(len(flat), b + CONTEXT)])]
+                    out.append((doc_id, a, b, own, far, before, after, len(core.split()), not core[:1].isspace(), not core[-1:].isspace()))
+                yield [list(c) for c in zip(*out, strict=True)]
+
+    def run(batches):
+        return batches_of(gathered(look(batches)), names, types)
+
+    each = places.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("places"))
+    wide = each.join(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id").select("doc_id", "text", "places")
+    return wide.mapInArrow(run, "doc_id long, start long, end long, from long, to long, before binary, after binary, words long, first boolean, last boolean")
+
+
+def gathered(lists, least: int = 1000):
+    """Tuples of lists, put together until they have so many rows."""
+    held = None
+    for columns in lists:
+        held = columns if held is None else [[*x, *y] for x, y in zip(held, columns, strict=True)]
+        if len(held[0]) >= least:
+            yield held
+            held = None
+    if held is not None:
+        yield held
 
 
 def agreeing(a: bytes, b: bytes) -> int:
