@@ -54,6 +54,15 @@ def test_small_buckets_agree(spark):
     assert one == two
 
 
+def test_batch_is_dealt_out_without_a_history(spark, monkeypatch):
+    each = exact.distinct_digests(odd_docs(spark).select("doc_id", exact.text_digest("text").alias("digest")))
+    build, dealt = exact.build_index, []
+    monkeypatch.setattr(exact, "build_index", lambda history, buckets: dealt.append(buckets) or build(history, buckets))
+    groups = exact.merged_groups(each.limit(0), each, 3)
+    assert dealt[0] * 3 >= each.count()
+    assert sorted(bytes(r.digest) for r in groups.collect()) == sorted(bytes(r.digest) for r in each.collect())
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], DOCS)
     assert exact.exact_dedup(docs, F.lit(True)).count() == 0

@@ -1,7 +1,8 @@
 """Exact dedup through a minimal perfect hash over the digests of earlier documents.
 
 Texts are equal when identical after lower-casing A-Z; their digest is SHA-256. The
-distinct digests of the *history* are dealt to buckets of about ``per_bucket``. Each
+distinct digests of the *history* are dealt to buckets, so many that neither its digests
+nor those of the *batch* are over ``per_bucket`` in one on average. Each
 bucket gets a minimal perfect hash built in levels: a digest whose place in a level's bit
 field no other shares is settled there, the rest go to the next level, and a digest's slot
 is the number of settled places before its own. A slot holds the full digest and the
@@ -140,7 +141,7 @@ def _merge(batch: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
 
 def merged_groups(history: DataFrame, batch: DataFrame, per_bucket: int = 16384) -> DataFrame:
     """(digest, winner, winner_rows, copies) of history and batch together, each with distinct digests."""
-    buckets = max(1, math.ceil(history.count() / per_bucket))
+    buckets = max(1, math.ceil(max(history.count(), batch.count()) / per_bucket))
     index = build_index(history, buckets)
     wide = batch.select(_bucket(buckets), "*")
     return wide.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(_merge, GROUP).drop("bucket")
@@ -154,7 +155,7 @@ def exact_dedup(docs: DataFrame, in_history: Column) -> DataFrame:
     """
     rows = stored(docs.select("doc_id", text_digest("text").alias("digest"), F.coalesce(in_history, F.lit(False)).alias("old")), "digests")
     history = stored(distinct_digests(rows.where("old")), "history")
-    groups = merged_groups(history, distinct_digests(rows.where("NOT old")))
+    groups = merged_groups(history, stored(distinct_digests(rows.where("NOT old")), "batch"))
     return rows.drop("old").join(groups, "digest").select(
         "doc_id",
         "digest",
