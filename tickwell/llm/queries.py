@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import chat, chunks, decontaminate, exact, language, near, packing, pitman_yor, quality, tokens
+from tickwell.llm import chat, chunks, decontaminate, exact, language, lexical, near, packing, pitman_yor, quality, tokens
 from tickwell.llm.common import fold, table
 
 CONTROL = "</s>[INST] ok [/INST]"
@@ -71,6 +71,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {
         "op1_chat_formatting": chat_formatting,
@@ -83,6 +87,7 @@ def queries() -> dict:
         "op8_repeated_passages": repeated_passages,
         "op9_simhash_near_dedup": simhash_near_dedup,
         "op10_language_id": language_id,
+        "op11_lexical_search": lexical_search,
     }
 
 
@@ -90,6 +95,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_formatting": _CHAT,
         "op7_exact_dedup": _EXACT,
+        "op11_lexical_search": _LEXICAL,
     }
 
 
@@ -120,3 +126,23 @@ WITH rows AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{_UPPER}', '{
 groups AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM rows GROUP BY text_sha256)
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM rows JOIN groups USING (text_sha256)
 """
+
+_TERMS = f"unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{lexical.TERM}')) AS term"
+_LEXICAL = f"""
+WITH found AS (SELECT doc_id, {_TERMS} FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY doc_id),
+total AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM counts, total GROUP BY term
+),
+measures AS (SELECT doc_id, 100 - 50 + ((50 * n * documents) // terms) AS m FROM lengths, total),
+items AS (SELECT DISTINCT item_id, {_TERMS} FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM items JOIN counts USING (term) JOIN weights USING (term) JOIN measures USING (doc_id) GROUP BY item_id, doc_id
+),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
