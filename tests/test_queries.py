@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as registered
 
-TABLES = ["events", "documents", "conversations"]
+TABLES = ["events", "documents", "conversations", "pages", "benchmark"]
 
 
 @pytest.fixture(scope="module")
