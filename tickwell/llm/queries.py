@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import chat, chunks, decontaminate, exact, language, lexical, near, packing, pitman_yor, quality, tokens
+from tickwell.llm import chat, chunks, decontaminate, exact, language, lexical, merkle, near, packing, pitman_yor, quality, tokens
 from tickwell.llm.common import fold, table
 
 CONTROL = "</s>[INST] ok [/INST]"
@@ -75,6 +75,15 @@ def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose id has an even checksum are presented without their line breaks."""
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    shown = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    made = merkle.manifest(table(spark, sf_dir, "documents"), shown)
+    siblings = F.array_join(F.transform("siblings", lambda s: F.concat(s["left"], s["right"])), "")
+    return merkle.proofs(made).select("doc_id", "leaf", "subroot", "root", F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 def queries() -> dict:
     return {
         "op1_chat_formatting": chat_formatting,
@@ -88,6 +97,7 @@ def queries() -> dict:
         "op9_simhash_near_dedup": simhash_near_dedup,
         "op10_language_id": language_id,
         "op11_lexical_search": lexical_search,
+        "op13_merkle_manifest": merkle_manifest,
     }
 
 
@@ -96,6 +106,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_chat_formatting": _CHAT,
         "op7_exact_dedup": _EXACT,
         "op11_lexical_search": _LEXICAL,
+        "op13_merkle_manifest": _MERKLE,
     }
 
 
@@ -146,3 +157,66 @@ scores AS (
 ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
 SELECT * FROM ranked WHERE rank <= 50
 """
+
+
+def _told(text: str) -> str:
+    columns = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+    told = [f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in columns]
+    return f"sha256({' || '.join(told)})"
+
+
+_MERKLE = f"""
+WITH RECURSIVE checksum AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS s, 0 AS i, 4294967295::BIGINT AS c FROM documents
+  UNION ALL
+  SELECT doc_id, s, i + 1, xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)
+  FROM (SELECT doc_id, s, i, CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(s, i // 8 + 1, 1))) ELSE c END AS x FROM checksum WHERE i < 8 * length(s))
+), tampered AS (
+  SELECT DISTINCT doc_id FROM checksum WHERE i = 8 * length(s) AND c & 1 = 1
+), hashed AS (
+  SELECT doc_id, source, {_told("text")} AS leaf,
+    CASE WHEN doc_id IN (SELECT doc_id FROM tampered) THEN {_told("replace(text, chr(10), '')")} ELSE {_told("text")} END AS shown
+  FROM documents
+), sources AS (
+  SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM documents)
+), leaves AS (
+  SELECT doc_id, tree, leaf, shown, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+  FROM hashed JOIN sources ON hashed.source IS NOT DISTINCT FROM sources.source
+), below AS (
+  SELECT tree, 0 AS level, pos AS idx, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3 FROM below WHERE n > 1 GROUP BY tree, level, idx // 3, n
+), subroots AS (
+  SELECT tree, level AS high, digest AS subroot FROM below WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, tree AS idx, subroot AS digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3 FROM upper WHERE n > 1 GROUP BY level, idx // 3, n
+), top AS (
+  SELECT level AS highest, digest AS root FROM upper WHERE n = 1
+), path AS (
+  SELECT tree, pos, idx, level, high, 0 AS up FROM (SELECT tree, pos, pos AS idx, 0 AS level, high FROM leaves JOIN subroots USING (tree))
+  UNION ALL
+  SELECT tree, pos, CASE WHEN up = 0 AND level = high THEN tree ELSE idx // 3 END, CASE WHEN up = 0 AND level = high THEN 0 ELSE level + 1 END,
+    CASE WHEN up = 0 AND level = high THEN highest ELSE high END, CASE WHEN up = 0 AND level = high THEN 1 ELSE up END
+  FROM path, top WHERE up = 0 OR level < high
+), steps AS (
+  SELECT path.tree, path.pos, path.up, path.level, string_agg(CASE WHEN s.idx < path.idx THEN s.digest ELSE '' END, '' ORDER BY s.idx) AS l,
+    string_agg(CASE WHEN s.idx > path.idx THEN s.digest ELSE '' END, '' ORDER BY s.idx) AS r
+  FROM path JOIN (SELECT 0 AS up, tree, level, idx, digest FROM below UNION ALL SELECT 1, -1, level, idx, digest FROM upper) s
+    ON s.up = path.up AND s.tree = CASE WHEN path.up = 1 THEN -1 ELSE path.tree END AND s.level = path.level AND s.idx // 3 = path.idx // 3
+  WHERE path.level < path.high GROUP BY path.tree, path.pos, path.up, path.level
+), numbered AS (
+  SELECT tree, pos, row_number() OVER (PARTITION BY tree, pos ORDER BY up, level) AS step, l, r FROM steps
+), folded AS (
+  SELECT tree, pos, 1 AS step, shown AS digest FROM leaves
+  UNION ALL
+  SELECT f.tree, f.pos, f.step + 1, sha256(l || digest || r) FROM folded f JOIN numbered s ON s.tree = f.tree AND s.pos = f.pos AND s.step = f.step
+), ends AS (
+  SELECT tree, pos, arg_max(digest, step) AS folded_root FROM folded GROUP BY tree, pos
+), proved AS (
+  SELECT tree, pos, sha256(string_agg(l || r, '' ORDER BY step)) AS proof_sha256 FROM numbered GROUP BY tree, pos
+)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN ends USING (tree, pos) LEFT JOIN proved USING (tree, pos), top
+"""
