@@ -4,8 +4,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import chat, chunks, decontaminate, exact, language, lexical, merkle, near, packing, pitman_yor, quality, tokens
-from tickwell.llm.common import fold, table
+from tickwell.llm import chat, chunks, decontaminate, exact, language, lexical, merkle, near, packing, pitman_yor, quality, tokens, warc
+from tickwell.llm.common import fold, stored, table
+from tickwell.sources.scratch import shared_folder
 
 CONTROL = "</s>[INST] ok [/INST]"
 IN_HISTORY = "pmod(doc_id, 2) = 0"
@@ -75,6 +76,13 @@ def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "archive")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder, "2024-01-01T00:00:00Z")
+    records = stored(warc.read_archive(spark, folder, payloads=False), "records")
+    return warc.resolve_revisits(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose id has an even checksum are presented without their line breaks."""
     even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -97,6 +105,7 @@ def queries() -> dict:
         "op9_simhash_near_dedup": simhash_near_dedup,
         "op10_language_id": language_id,
         "op11_lexical_search": lexical_search,
+        "op12_warc_revisits": warc_revisits,
         "op13_merkle_manifest": merkle_manifest,
     }
 
@@ -106,6 +115,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_chat_formatting": _CHAT,
         "op7_exact_dedup": _EXACT,
         "op11_lexical_search": _LEXICAL,
+        "op12_warc_revisits": _WARC,
         "op13_merkle_manifest": _MERKLE,
     }
 
@@ -220,3 +230,13 @@ WITH RECURSIVE checksum AS (
 SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
 FROM leaves JOIN subroots USING (tree) JOIN ends USING (tree, pos) LEFT JOIN proved USING (tree, pos), top
 """
+
+#: Letter i of the base32 text is bits 5i to 5i + 4 of the digest; forty bits are ten hexadecimal digits.
+_BASE32 = " || ".join(f"substr('{warc.BASE32}', 1 + ((('0x' || substr(sha1, {1 + 10 * (i // 8)}, 10))::BIGINT >> {35 - 5 * (i % 8)}) & 31)::INTEGER, 1)" for i in range(32))
+_WARC = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha1 FROM pages),
+firsts AS (SELECT payload, min(page_id) AS first_id FROM payloads GROUP BY payload)
+SELECT page_id, strlen(payload) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM payloads JOIN firsts USING (payload)
+"""
