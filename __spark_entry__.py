@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickwell.functions.clock import moment
 from tickwell.functions.codec import decode_ticks, encode_legacy_tick, epoch_millis
 from tickwell.functions.numbers import float_of
-from tickwell.operators import sample, trends
+from tickwell.operators import partials, sample, sessions, trends
 from tickwell.operators.keys import already_stored, first_by_key, not_stored, repeats_by_key, stamp_arrivals
 from tickwell.operators.validate import accepted, check_lengths, judge, reject_report
 from tickwell.plans import sql
@@ -21,14 +21,18 @@ from tickwell.sources.events import LEGACY_KINDS, clean_payload, legacy_payload,
 from tickwell.sources.scratch import shared_folder
 from tickwell.sources.table import append_prices, compact_history, create_price_table, drop_merged, read_history, read_rejects, write_history
 from tickwell.sources.topic import append_topic, follow_topic, read_topic, scan_topic
-from tickwell.streaming.ingest import start_ingest
+from tickwell.streaming import live
+from tickwell.streaming.ingest import run_id_of, start_ingest
 from tickwell.streaming.poll import start_poller
 from tickwell.streaming.rollup import trend_stream, unique_stream
+from tickwell.streaming.sessions import keyed_state, session_stream, stale_stream
 
 try:  # the corpus operators are an extra; all else works without them
     import corpus_pipeline
     from tickwell.llm import queries as corpus
-except ImportError:
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "tickwell.llm"):
+        raise
     corpus = None
 
 ASOF = "2024-01-15 12:00:00"
@@ -410,6 +414,81 @@ def stream_poll(spark, sf_dir):
     return accepted(judge(read_topic(spark, f"{folder}/topic"))).select("symbol", "price", "company", "market")
 
 
+def _in_batches(spark, sf_dir, folder, batch, batches):
+    """The ticks as a stream of micro-batches: those whose ``batch`` is 0, then 1 and so on."""
+    ticks = _ticks(spark, sf_dir)
+    for n in batches:
+        ticks.filter(batch == n).coalesce(1).write.mode("append").parquet(f"{folder}/ticks")
+    return spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/ticks")
+
+
+def _closed(spark, closing, folder):
+    """What a stream with keyed state has emitted when all its ticks are read."""
+    with keyed_state(spark):
+        writer = closing.writeStream.format("parquet").option("checkpointLocation", f"{folder}/progress")
+        query = writer.option("path", f"{folder}/out").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+def _third_of_month():
+    """Three micro-batches that follow each other in time."""
+    return F.floor((F.dayofmonth("timestamp") - 1) / 11)
+
+
+def stream_stale(spark, sf_dir):
+    """Every silence of a quarter of an hour, also the last one of a symbol, once the watermark has passed it."""
+    folder = shared_folder(spark, "stale")
+    ticks = _in_batches(spark, sf_dir, folder, _third_of_month(), range(3))
+    return _closed(spark, stale_stream(ticks, 15), folder)
+
+
+def stream_sessions(spark, sf_dir):
+    """Sessions that no tick may extend any more."""
+    folder = shared_folder(spark, "sessions")
+    ticks = _in_batches(spark, sf_dir, folder, _third_of_month(), range(3))
+    return _rounded(_closed(spark, session_stream(ticks, 900, tie="event_id"), folder), "avg_price", digits=9)
+
+
+def session_trend(spark, sf_dir):
+    return _rounded(sessions.session_trend(_ticks(spark, sf_dir), 900, tie="event_id"), "avg_price", digits=9)
+
+
+def sliding_trend(spark, sf_dir):
+    return _rounded(partials.sliding_trend(_ticks(spark, sf_dir), "6 hours", "1 hour", tie="event_id"), "avg_price", digits=9)
+
+
+def _mixed_up():
+    """Three micro-batches: seven of ten ticks, two of ten, one of ten, each over the whole time."""
+    return F.when(F.col("event_id") % 10 < 7, 0).when(F.col("event_id") % 10 < 9, 1).otherwise(2)
+
+
+def _live(spark, sf_dir, batches, late=None):
+    folder = shared_folder(spark, "live")
+    ticks = _in_batches(spark, sf_dir, folder, _mixed_up(), batches)
+    live.start_live(ticks, folder, f"{folder}/progress", late=late, tie="event_id").awaitTermination()
+    # As after a failure: the last batch comes again.
+    again = _ticks(spark, sf_dir).filter(_mixed_up() == batches[-1])
+    live.fold_batch(again, folder, run_id_of(spark, f"{folder}/progress"), len(batches) - 1, late=late, tie="event_id")
+    return folder
+
+
+def stream_late(spark, sf_dir):
+    """Trend of the ticks on time, and each late tick with the bucket that had closed without it."""
+    folder = _live(spark, sf_dir, [0, 1, 2], "10 minutes")
+    trend = _rounded(live.live_trend(spark, folder), "avg_price", digits=9).withColumn("event_id", F.lit(None).cast("bigint"))
+    late = live.late_ticks(spark, folder).select("symbol", "bucket", "event_id", F.col("price").alias("open"), F.lit(1).cast("bigint").alias("n_ticks"))
+    return trend.unionByName(late, allowMissingColumns=True)
+
+
+def live_trend(spark, sf_dir):
+    return _rounded(live.live_trend(spark, _live(spark, sf_dir, [2, 0, 1])), "avg_price", digits=9)
+
+
+def live_latest(spark, sf_dir):
+    return live.live_latest(spark, _live(spark, sf_dir, [1, 2, 0]))
+
+
 # --- contract -------------------------------------------------------------
 
 
@@ -466,6 +545,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_trend": stream_trend,
         "stream_unique": stream_unique,
         "stream_poll": stream_poll,
+        "stream_stale": stream_stale,
+        "stream_late": stream_late,
+        "stream_sessions": stream_sessions,
+        "session_trend": session_trend,
+        "sliding_trend": sliding_trend,
+        "live_trend": live_trend,
+        "live_latest": live_latest,
     }
 
 
@@ -573,6 +659,23 @@ _TREND = """
   FROM events GROUP BY 1, 2
 """
 
+#: Sessions of ticks with at most a quarter of an hour between them.
+_SESSIONS = """
+WITH ordered AS (
+  SELECT event_type AS symbol, ts, event_id, value, ts > lag(ts) OVER w + INTERVAL 15 MINUTE AS breaks, max(ts) OVER () AS final
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)
+), numbered AS (
+  SELECT *, count(*) FILTER (breaks) OVER (PARTITION BY symbol ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM ordered
+), sessions AS (
+  SELECT symbol, min(ts) AS start, max(ts) AS "end", arg_min(value, row(ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+    arg_max(value, row(ts, event_id)) AS close, round(avg(value), 9) AS avg_price, count(*) AS n_ticks, any_value(final) AS final
+  FROM numbered GROUP BY symbol, session
+)
+"""
+
+#: A stream has closed what the last tick less the time allowed for late ones has passed.
+_CLOSED = """"end" + INTERVAL 15 MINUTE <= final - INTERVAL 10 MINUTE"""
+
 _MARKET = """
 WITH priced AS (
   SELECT event_type AS symbol, value AS price, CASE WHEN user_id % 2 = 0 THEN 'NASDAQ' ELSE 'NYSE' END AS market FROM events
@@ -604,6 +707,29 @@ legacy AS (
 
 def oracle_sql() -> dict[str, str]:
     return (corpus.oracle_sql() if corpus else {}) | {
+        "stream_stale": f"""{_SESSIONS} SELECT symbol, "end" AS since, "end" + INTERVAL 15 MINUTE AS stale_at FROM sessions WHERE {_CLOSED}""",
+        "stream_sessions": f"{_SESSIONS} SELECT * EXCLUDE (final) FROM sessions WHERE {_CLOSED}",
+        "session_trend": f"{_SESSIONS} SELECT * EXCLUDE (final) FROM sessions",
+        "sliding_trend": """
+WITH spread AS (SELECT *, date_trunc('hour', ts) - to_hours(unnest(range(6))) AS bucket FROM events)
+SELECT event_type AS symbol, bucket, arg_min(value, row(ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+  arg_max(value, row(ts, event_id)) AS close, round(avg(value), 9) AS avg_price, count(*) AS n_ticks
+FROM spread GROUP BY 1, 2
+""",
+        "stream_late": """
+WITH dealt AS (
+  SELECT *, date_trunc('hour', ts) AS bucket, CASE WHEN event_id % 10 < 7 THEN 0 WHEN event_id % 10 < 9 THEN 1 ELSE 2 END AS batch FROM events
+), reached AS (SELECT batch, max(ts) - INTERVAL 10 MINUTE AS upto FROM dealt GROUP BY batch),
+judged AS (
+  SELECT *, coalesce(bucket + INTERVAL 1 HOUR <= (SELECT max(upto) FROM reached r WHERE r.batch < dealt.batch), false) AS late FROM dealt
+)
+SELECT event_type AS symbol, bucket, NULL::BIGINT AS event_id, arg_min(value, row(ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+  arg_max(value, row(ts, event_id)) AS close, round(avg(value), 9) AS avg_price, count(*) AS n_ticks
+FROM judged WHERE NOT late GROUP BY 1, 2
+UNION ALL SELECT event_type, bucket, event_id, value, NULL, NULL, NULL, NULL, 1 FROM judged WHERE late
+""",
+        "live_trend": _TREND,
+        "live_latest": "SELECT event_type AS symbol, arg_max(value, row(ts, event_id)) AS price, max(ts) AS timestamp FROM events GROUP BY 1",
         "encode_ticks": """
 SELECT event_id,
   CAST(json_object('price', value, 'symbol', event_type, 'company', event_type, 'market', 'NASDAQ') AS VARCHAR) AS value

@@ -1,0 +1,123 @@
+"""Live tables: any order of batches, replays, failures before the commit, late ticks."""
+
+import random
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickwell.operators.trends import latest_price, price_trend
+from tickwell.sources import versions
+from tickwell.sources.events import clean_payload, records_of
+from tickwell.sources.topic import append_topic, follow_topic
+from tickwell.streaming import live
+from tickwell.streaming.ingest import start_ingest
+
+TICKS = "symbol string, price double, timestamp timestamp_ntz, event_id long"
+START = datetime(2024, 1, 1)
+
+
+def ticks_of(n, seed=2):
+    rng = random.Random(seed)
+    return [(rng.choice("AABC"), None if rng.random() < 0.05 else rng.randint(1, 99) / 4, START + timedelta(minutes=rng.randrange(4 * 1440)), i) for i in range(n)]
+
+
+def rows_of(df, *rounded):
+    return sorted(map(tuple, df.withColumns({c: F.round(c, 9) for c in rounded}).collect()), key=str)
+
+
+def batches(spark, n=3):
+    ticks = spark.createDataFrame(ticks_of(300), TICKS)
+    return ticks, [ticks.filter(F.col("event_id") % n == b) for b in range(n)]
+
+
+def same_as_batch(spark, folder, ticks):
+    assert rows_of(live.live_trend(spark, folder), "avg_price") == rows_of(price_trend(ticks, "1 hour", "event_id"), "avg_price")
+    assert rows_of(live.live_latest(spark, folder)) == rows_of(latest_price(ticks, "event_id"))
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 0, 1]])
+def test_any_order_and_replays(spark, scratch, order):
+    ticks, parts = batches(spark)
+    for n, b in enumerate(order):
+        live.fold_batch(parts[b], scratch, "run", n, tie="event_id")
+        live.fold_batch(parts[b], scratch, "run", n, tie="event_id")
+    live.fold_batch(parts[order[-1]], scratch, "run", 2, tie="event_id")
+    same_as_batch(spark, scratch, ticks)
+    one = live.live_trend(spark, scratch, ["2024-01-02"])
+    assert rows_of(one, "avg_price") == rows_of(price_trend(ticks.filter("to_date(timestamp) = '2024-01-02'"), "1 hour", "event_id"), "avg_price")
+    assert rows_of(live.live_latest(spark, scratch, ["B"])) == rows_of(latest_price(ticks.filter("symbol = 'B'"), "event_id"))
+
+
+def test_failure_before_the_commit_shows_nothing(spark, scratch, monkeypatch):
+    ticks, parts = batches(spark)
+    live.fold_batch(parts[0], scratch, "run", 0, tie="event_id")
+    before = rows_of(live.live_trend(spark, scratch), "avg_price"), rows_of(live.live_latest(spark, scratch))
+
+    def fail(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(live, "commit", fail)
+        live.fold_batch(parts[1], scratch, "run", 1, tie="event_id")
+    assert (rows_of(live.live_trend(spark, scratch), "avg_price"), rows_of(live.live_latest(spark, scratch))) == before
+    live.fold_batch(parts[1], scratch, "run", 1, tie="event_id")
+    live.fold_batch(parts[2], scratch, "other run", 0, tie="event_id")
+    same_as_batch(spark, scratch, ticks)
+
+
+def test_only_touched_partitions_are_written(spark, scratch):
+    ticks, _ = batches(spark)
+    day = F.to_date("timestamp").cast("string")
+    live.fold_batch(ticks, scratch, "run", 0, tie="event_id")
+    live.fold_batch(ticks.filter((day == "2024-01-03") & (F.col("symbol") == "C")), scratch, "run", 1, tie="event_id")
+    found = versions.read_snapshot(spark, scratch)
+    assert {p: v for p, v in found.of("trend").items() if v == 1} == {"2024-01-03": 1}
+    assert sum(v == 1 for v in found.of("latest").values()) == 1
+
+
+def test_old_versions_may_go(spark, scratch):
+    ticks, parts = batches(spark, 5)
+    for n, part in enumerate(parts):
+        live.fold_batch(part, scratch, "run", n, tie="event_id")
+    for name in ("trend", "latest"):
+        versions.drop_versions(spark, scratch, name)
+    kept = {(p.parent.name, p.name) for p in Path(scratch, "trend").glob("part=*/version=*")}
+    assert {v for _, v in kept} == {"version=3", "version=4"}
+    assert {p.name for p in Path(scratch, "_snapshots").glob("version=*")} == {"version=3", "version=4"}
+    same_as_batch(spark, scratch, ticks)
+
+
+def test_late_ticks_are_kept_with_their_bucket(spark, scratch):
+    def tick(symbol, hour, event_id):
+        return (symbol, 1.0, START + timedelta(hours=hour), event_id)
+
+    def fold(n, *rows):
+        live.fold_batch(spark.createDataFrame(rows, TICKS), scratch, "run", n, late="30 minutes", tie="event_id")
+
+    fold(0, tick("A", 1.2, 0), tick("A", 3.6, 1), tick("A", 0.5, 2))
+    fold(1, tick("A", 1.7, 3), tick("B", 3.1, 4), tick("A", 2.99, 5), ("A", 1.0, None, 6), tick("A", 2.0, 7))
+    fold(1, tick("A", 1.7, 3), tick("B", 3.1, 4), tick("A", 2.99, 5), ("A", 1.0, None, 6), tick("A", 2.0, 7))
+    fold(2, tick("C", 2.9, 8), tick("C", 9.0, 9))
+    fold(3, tick("C", 7.9, 10))
+    late = {r.event_id: r.bucket for r in live.late_ticks(spark, scratch).collect()}
+    assert late == {3: START + timedelta(hours=1), 5: START + timedelta(hours=2), 6: None, 7: START + timedelta(hours=2), 8: START + timedelta(hours=2), 10: START + timedelta(hours=7)}
+    assert sum(r.n_ticks for r in live.live_trend(spark, scratch).collect()) + len(late) == 11
+
+
+def test_nothing_yet(spark, scratch):
+    assert live.live_trend(spark, scratch).count() == live.live_latest(spark, scratch).count() == live.late_ticks(spark, scratch).count() == 0
+    live.fold_batch(spark.createDataFrame([], TICKS), scratch, "run", 0, late="1 hour")
+    assert live.live_trend(spark, scratch).count() == live.late_ticks(spark, scratch).count() == 0
+
+
+def test_live_tables_follow_the_ingestion(spark, scratch):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for n in range(2):
+        append_topic(records_of(events, clean_payload()).filter(F.col("offset") % 2 == n).coalesce(1), f"{scratch}/topic")
+    sink = live.live_sink(f"{scratch}/live")
+    start_ingest(follow_topic(spark, f"{scratch}/topic", 1), f"{scratch}/history", f"{scratch}/rejects", f"{scratch}/progress", "timestamp", also=sink).awaitTermination()
+    ticks = events.select(F.col("event_type").alias("symbol"), F.col("value").alias("price"), F.col("ts").alias("timestamp"))
+    want = rows_of(price_trend(ticks.dropDuplicates(["symbol", "timestamp"])), "avg_price")
+    assert rows_of(live.live_trend(spark, f"{scratch}/live"), "avg_price") == want
