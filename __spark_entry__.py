@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickwell.functions.clock import moment
 from tickwell.functions.codec import decode_ticks, encode_legacy_tick, epoch_millis
 from tickwell.functions.numbers import float_of
-from tickwell.operators import partials, sample, sessions, trends
+from tickwell.operators import asof, partials, recurrence, sample, sessions, trends
 from tickwell.operators.keys import already_stored, first_by_key, not_stored, repeats_by_key, stamp_arrivals
 from tickwell.operators.validate import accepted, check_lengths, judge, reject_report
 from tickwell.plans import sql
@@ -276,6 +276,16 @@ def poll_sample_bounded(spark, sf_dir):
     return sample.poll_sample_bounded(ticks, start, seconds=HOUR, tie="event_id")
 
 
+def asof_join(spark, sf_dir):
+    """Every event asks for a price: at its own instant, an hour before it or on the hour, some for no known symbol or for none."""
+    asked = F.when(F.col("event_id") % 50 == 0, "unknown").when(F.col("event_id") % 50 > 1, F.col("symbol"))
+    moments = F.when(F.col("event_id") % 3 == 0, F.col("timestamp")).when(F.col("event_id") % 3 == 1, F.col("timestamp") - F.expr("INTERVAL 1 HOUR"))
+    on_the_hour = F.date_trunc("hour", "timestamp").cast("timestamp_ntz")
+    ticks = _ticks(spark, sf_dir)
+    probes = ticks.select("event_id", asked.alias("symbol"), F.coalesce(moments, on_the_hour).alias("moment"))
+    return asof.asof_join(probes, ticks, tie="event_id")
+
+
 # --- trends ---------------------------------------------------------------
 
 
@@ -299,6 +309,14 @@ def price_momentum(spark, sf_dir):
     return _rounded(trends.price_momentum(_ticks(spark, sf_dir), tie="event_id"), "moving_avg", "change")
 
 
+def price_ewma(spark, sf_dir):
+    return _rounded(recurrence.price_ewma(_ticks(spark, sf_dir), 0.1, tie="event_id"), "ewma")
+
+
+def price_drawdown(spark, sf_dir):
+    return _rounded(recurrence.price_drawdown(_ticks(spark, sf_dir), tie="event_id"), "drawdown", digits=9)
+
+
 def _with_market(spark, sf_dir):
     events = _events(spark, sf_dir)
     market = F.when(F.col("user_id") % 2 == 0, "NASDAQ").otherwise("NYSE")
@@ -531,6 +549,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quote_asof": quote_asof,
         "poll_sample": poll_sample,
         "poll_sample_bounded": poll_sample_bounded,
+        "asof_join": asof_join,
+        "price_ewma": price_ewma,
+        "price_drawdown": price_drawdown,
         "price_series": price_series,
         "price_trend": price_trend,
         "tick_volume": tick_volume,
@@ -707,6 +728,29 @@ legacy AS (
 
 def oracle_sql() -> dict[str, str]:
     return (corpus.oracle_sql() if corpus else {}) | {
+        "asof_join": """
+WITH probes AS (
+  SELECT event_id, CASE event_id % 50 WHEN 0 THEN 'unknown' WHEN 1 THEN NULL ELSE event_type END AS symbol,
+    CASE event_id % 3 WHEN 0 THEN ts WHEN 1 THEN ts - INTERVAL 1 HOUR ELSE date_trunc('hour', ts) END AS moment
+  FROM events
+), ticks AS (SELECT event_type, ts, arg_max(value, event_id) AS value FROM events GROUP BY event_type, ts)
+SELECT event_id, symbol, moment, value AS price, ts AS price_at FROM probes ASOF LEFT JOIN ticks ON symbol = event_type AND moment >= ts
+""",
+        "price_ewma": """
+WITH RECURSIVE ordered AS (
+  SELECT event_type AS symbol, ts AS timestamp, event_id, value AS price, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS nth FROM events
+), steps AS (
+  SELECT *, price AS ewma FROM ordered WHERE nth = 1
+  UNION ALL
+  SELECT o.*, 0.1::DOUBLE * o.price + 0.9::DOUBLE * s.ewma FROM steps s JOIN ordered o ON o.symbol = s.symbol AND o.nth = s.nth + 1
+)
+SELECT symbol, timestamp, event_id, price, round(ewma, 6) AS ewma FROM steps
+""",
+        "price_drawdown": """
+SELECT symbol, price, timestamp, event_id, peak, round(price / peak - 1, 9) AS drawdown FROM (
+  SELECT event_type AS symbol, value AS price, ts AS timestamp, event_id, max(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS peak FROM events
+)
+""",
         "stream_stale": f"""{_SESSIONS} SELECT symbol, "end" AS since, "end" + INTERVAL 15 MINUTE AS stale_at FROM sessions WHERE {_CLOSED}""",
         "stream_sessions": f"{_SESSIONS} SELECT * EXCLUDE (final) FROM sessions WHERE {_CLOSED}",
         "session_trend": f"{_SESSIONS} SELECT * EXCLUDE (final) FROM sessions",
