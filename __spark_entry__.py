@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickwell.functions.clock import moment
 from tickwell.functions.codec import decode_ticks, encode_legacy_tick, epoch_millis
 from tickwell.functions.numbers import float_of
-from tickwell.operators import asof, partials, recurrence, sample, sessions, trends
+from tickwell.operators import asof, partials, recurrence, sample, sessions, sketches, trends
 from tickwell.operators.keys import already_stored, first_by_key, not_stored, repeats_by_key, stamp_arrivals
 from tickwell.operators.validate import accepted, check_lengths, judge, reject_report
 from tickwell.plans import sql
@@ -317,6 +317,38 @@ def price_drawdown(spark, sf_dir):
     return _rounded(recurrence.price_drawdown(_ticks(spark, sf_dir), tie="event_id"), "drawdown", digits=9)
 
 
+SOME_DAYS = "2024-01-06", "2024-01-20"
+RANKS = [0.05, 0.5, 0.95]
+
+
+def _sketched(spark, ticks):
+    """Sketches of all days, made of three batches, one of them replayed."""
+    folder = shared_folder(spark, "sketches")
+    for batch, n in enumerate((2, 0, 0, 1)):
+        sketches.fold_sketches(ticks.filter(F.col("event_id") % 3 == n), folder, "run", (0, 1, 1, 2)[batch])
+    return folder
+
+
+def _some_days(ticks):
+    return ticks.filter(F.to_date("timestamp").between(*[F.lit(d).cast("date") for d in SOME_DAYS]))
+
+
+def daily_quantiles(spark, sf_dir):
+    """Exact quantiles over some days, and whether the merged sketches of these days agree within their error."""
+    ticks = _ticks(spark, sf_dir)
+    estimates = sketches.quantiles_between(spark, _sketched(spark, ticks), *SOME_DAYS, RANKS)
+    judged = sketches.rank_errors(estimates, _some_days(ticks)).select("symbol", "rank", "n_priced", (F.col("error") <= sketches.QUANTILE_ERROR).alias("agrees"))
+    return sketches.exact_quantiles(_some_days(ticks), RANKS).drop("n_priced").join(judged, ["symbol", "rank"], "full")
+
+
+def daily_symbols(spark, sf_dir):
+    """Users as symbols: how many there are over some days, exactly, and whether the merged sketches agree within their error."""
+    users = _events(spark, sf_dir).select(F.concat(F.lit("U"), "user_id").alias("symbol"), F.col("ts").alias("timestamp"), F.col("value").alias("price"), "event_id")
+    estimate = sketches.symbols_between(spark, _sketched(spark, users), *SOME_DAYS).scalar()
+    exact = _some_days(users).agg(F.countDistinct("symbol").alias("n_symbols"))
+    return exact.withColumn("agrees", F.abs(estimate - F.col("n_symbols")) <= sketches.DISTINCT_ERROR * F.col("n_symbols"))
+
+
 def _with_market(spark, sf_dir):
     events = _events(spark, sf_dir)
     market = F.when(F.col("user_id") % 2 == 0, "NASDAQ").otherwise("NYSE")
@@ -552,6 +584,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "asof_join": asof_join,
         "price_ewma": price_ewma,
         "price_drawdown": price_drawdown,
+        "daily_quantiles": daily_quantiles,
+        "daily_symbols": daily_symbols,
         "price_series": price_series,
         "price_trend": price_trend,
         "tick_volume": tick_volume,
@@ -751,6 +785,14 @@ SELECT symbol, price, timestamp, event_id, peak, round(price / peak - 1, 9) AS d
   SELECT event_type AS symbol, value AS price, ts AS timestamp, event_id, max(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS peak FROM events
 )
 """,
+        "daily_quantiles": """
+WITH ordered AS (
+  SELECT event_type AS symbol, value AS price, row_number() OVER (PARTITION BY event_type ORDER BY value) AS nth, count(*) OVER (PARTITION BY event_type) AS n_priced
+  FROM events WHERE ts::DATE BETWEEN '2024-01-06' AND '2024-01-20'
+), ranks AS (SELECT unnest([0.05, 0.5, 0.95])::DOUBLE AS rank)
+SELECT symbol, rank, price, n_priced, true AS agrees FROM ordered, ranks WHERE nth = greatest(ceil(rank * n_priced), 1)
+""",
+        "daily_symbols": "SELECT count(DISTINCT user_id) AS n_symbols, true AS agrees FROM events WHERE ts::DATE BETWEEN '2024-01-06' AND '2024-01-20'",
         "stream_stale": f"""{_SESSIONS} SELECT symbol, "end" AS since, "end" + INTERVAL 15 MINUTE AS stale_at FROM sessions WHERE {_CLOSED}""",
         "stream_sessions": f"{_SESSIONS} SELECT * EXCLUDE (final) FROM sessions WHERE {_CLOSED}",
         "session_trend": f"{_SESSIONS} SELECT * EXCLUDE (final) FROM sessions",

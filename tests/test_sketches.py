@@ -1,0 +1,75 @@
+"""Sketches of days: merged in any order, within their error, no tick read again."""
+
+import math
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickwell.operators import sketches
+
+TICKS = "symbol string, price double, timestamp timestamp_ntz, event_id long"
+START = datetime(2024, 1, 1)
+RANKS = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+
+
+@pytest.fixture(scope="module")
+def ticks(spark):
+    days = F.expr("make_interval(0, 0, 0, int(id % 7), 0, 0, id % 86400)")
+    symbol = F.when(F.col("id") % 5 < 3, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 3000))
+    price = F.when(F.col("id") % 97 > 0, F.round(F.exp(F.randn(3)), 2))
+    return spark.range(60_000).select(symbol.alias("symbol"), price.alias("price"), (F.lit(START).cast("timestamp_ntz") + days).alias("timestamp"), F.col("id").alias("event_id")).cache()
+
+
+def folded(ticks, folder, order=(0, 1, 2)):
+    for n, part in enumerate(order):
+        some = ticks.filter(F.col("event_id") % 3 == part)
+        for _ in range(2):
+            sketches.fold_sketches(some, folder, "run", n)
+    return folder
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
+def test_ranges_of_days(spark, scratch, ticks, order):
+    folder = folded(ticks, scratch, order)
+    for first, last in (("2024-01-01", "2024-01-06"), ("2024-01-03", "2024-01-04"), ("2024-01-02", "2024-01-02")):
+        some = ticks.filter(F.to_date("timestamp").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+        found = sketches.quantiles_between(spark, folder, first, last, RANKS)
+        errors = sketches.rank_errors(found, some).agg(F.max("error"), F.count("*")).first()
+        assert errors[0] <= sketches.QUANTILE_ERROR and errors[1] == found.count()
+        assert found.filter("symbol = 'HOT'").first().n_priced == some.filter("symbol = 'HOT' AND price IS NOT NULL").count()
+        exact = some.select("symbol").distinct().count()
+        assert abs(sketches.symbols_between(spark, folder, first, last).first()[0] - exact) <= sketches.DISTINCT_ERROR * exact
+
+
+def test_each_day_is_read_once(spark, scratch, ticks):
+    folder = folded(ticks, scratch)
+    files = sketches.quantiles_between(spark, folder, "2024-01-02", "2024-01-04", [0.5]).inputFiles()
+    days = sorted({f.split("part=")[1].split("/")[0] for f in files})
+    assert days == ["2024-01-02", "2024-01-03", "2024-01-04"] and len(files) == len(set(files))
+    assert all("/version=2/" in f for f in files)
+
+
+@pytest.mark.parametrize("slices", [1, 7, 50])
+def test_exact_quantiles(spark, slices):
+    rng = random.Random(8)
+    rows = [(rng.choice(["HOT", "HOT", "A"]), rng.choice([None, math.nan, *range(40)]), START, i) for i in range(300)]
+    rows = [(s, None if p is None else float(p), t, i) for s, p, t, i in rows]
+    rows += [("ONE", 5.0, START, 900), ("NONE", None, START, 901), (None, 1.0, START, 902)]
+    want = {}
+    for symbol in ("HOT", "A", "ONE"):
+        own = sorted(p for s, p, *_ in rows if s == symbol and p is not None and not math.isnan(p))
+        want |= {(symbol, r): (own[max(math.ceil(r * len(own)), 1) - 1], len(own)) for r in RANKS}
+    found = sketches.exact_quantiles(spark.createDataFrame(rows, TICKS), RANKS, slices).collect()
+    assert {(r.symbol, r.rank): (r.price, r.n_priced) for r in found} == want and len(found) == len(want)
+
+
+def test_nothing(spark, scratch):
+    empty = spark.createDataFrame([], TICKS)
+    assert sketches.symbols_between(spark, scratch, "2024-01-01", "2024-02-01").first()[0] == 0
+    sketches.fold_sketches(empty, scratch, "run", 0)
+    sketches.fold_sketches(spark.createDataFrame([("A", None, START, 1), ("A", 1.0, None, 2)], TICKS), scratch, "run", 1)
+    assert sketches.quantiles_between(spark, scratch, "2024-01-01", "2024-02-01", RANKS).count() == 0
+    assert sketches.symbols_between(spark, scratch, "2024-01-01", "2024-02-01").first()[0] == 1
+    assert sketches.exact_quantiles(empty, RANKS).count() == 0
