@@ -59,6 +59,23 @@ PRICE_KEY = ["symbol", "timestamp"]
 #: Position of a message in its topic; also its arrival order.
 LINEAGE = ["topic", "partition", "offset"]
 
+#: Why a record may not be stored.
+REASONS = [
+    "malformed",
+    "not_object",
+    "missing_symbol",
+    "missing_price",
+    "bad_price",
+    "bad_symbol",
+    "bad_company",
+    "bad_market",
+    "bad_timestamp",
+    "null_symbol",
+    *[f"too_long_{name}" for name in LIMITS],
+    "null_timestamp",
+    "duplicate_key",
+]
+
 #: Columns of the reject table.
 REJECT_COLUMNS = [*LINEAGE, "value", "reason"]
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tickwell.sources.files import if_there
+from tickwell.sources.files import delete, if_there, listed
 
 _SNAPSHOT = "kind STRING, name STRING, part STRING, at BIGINT"
 _FOLDER = "_snapshots"
@@ -67,7 +67,7 @@ def commit(spark: SparkSession, folder: str, before: Snapshot, written: dict[str
     rows = [("part", name, part, at) for (name, part), at in now.parts.items()]
     rows += [("run", run, None, at) for run, at in now.runs.items()] + [("memory", name, None, at) for name, at in now.memory.items()]
     spark.createDataFrame(rows, _SNAPSHOT).coalesce(1).write.mode("overwrite").parquet(f"{folder}/{_FOLDER}/version={version}")
-    _delete(spark, f"{folder}/{_FOLDER}/version={version - 2}")
+    delete(spark, f"{folder}/{_FOLDER}/version={version - 2}")
     return now
 
 
@@ -110,22 +110,7 @@ def drop_versions(spark: SparkSession, folder: str, name: str) -> None:
     listed = _snapshots(spark, folder)
     named = listed.filter((F.col("version") >= last.version - 1) & (F.col("kind") == "part") & (F.col("name") == name))
     keep = {(r.part, r.at) for r in named.select("part", "at").distinct().collect()}
-    for path in _listed(spark, f"{folder}/{name}/part=*/version=*"):
+    for path in listed(spark, f"{folder}/{name}/part=*/version=*"):
         part, version = path.split("/")[-2].removeprefix("part="), int(path.split("/")[-1].removeprefix("version="))
         if version <= last.version and (part, version) not in keep:
-            _delete(spark, path)
-
-
-def _hadoop(spark: SparkSession, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _listed(spark: SparkSession, pattern: str) -> list[str]:
-    where, system = _hadoop(spark, pattern)
-    return [str(status.getPath().toString()) for status in system.globStatus(where) or []]
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    where, system = _hadoop(spark, path)
-    system.delete(where, True)
+            delete(spark, path)

@@ -13,7 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tickwell.functions.clock import moment
 from tickwell.operators.validate import accepted, judge
 from tickwell.plans.ingest import Settled, first_prices, left_over, on_clock, settle_by_arrival
+from tickwell.sources.commits import commit_batch, open_run
 from tickwell.sources.table import read_batch, read_history, write_history, write_rejects
+from tickwell.streaming.report import ARRIVED, Report, arrivals
 
 log = logging.getLogger(__name__)
 
@@ -28,6 +30,7 @@ def start_ingest(
     on_malformed: str = "quarantine",
     seconds: int | None = None,
     also: Callable[[DataFrame, int], None] | None = None,
+    report: Callable[[Report], None] | None = None,
 ) -> StreamingQuery:
     """Start ingestion of a record stream.
 
@@ -37,36 +40,51 @@ def start_ingest(
     history; within it, all topic partitions are read in parallel.
 
     The stream's progress is kept in ``checkpoint``; history partitions carry the id of
-    that checkpoint and the batch number, so a replayed batch replaces itself.
+    that checkpoint and the batch number, so a replayed batch replaces itself. History and
+    rejects of a batch become visible together, by one mark that is written last.
+
+    Each batch is reported to the log and to ``report``, by counts that the tasks which
+    write it keep on the way. What arrived is observed as well: a listener finds it under
+    ``streaming.report.ARRIVED``.
     """
-    arriving = records.withColumn("_arrived", F.current_timestamp())
+    judging = judge(records.withColumn("_arrived", F.current_timestamp()), legacy=legacy, on_malformed=on_malformed)
+    arriving = judging.observe(ARRIVED, *arrivals())
 
     stamps = _Stamps()
+    opened: set[str] = set()
 
     def settle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run_id = run_id_of(spark, checkpoint)
-        judged = judge(batch, legacy=legacy, on_malformed=on_malformed).persist(StorageLevel.MEMORY_AND_DISK)
+        if run_id not in opened:
+            open_run(spark, history, run_id, rejects)
+            opened.add(run_id)
+        judged = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            counts = _counts(judged)
-            if not counts:
-                return
-            log.info("batch %d: %s", batch_id, {r.reason or "stored": r.n for r in counts})
             own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
 
             def stored_on(days: list[date] | None = None) -> DataFrame:
                 return read_history(spark, history, days).filter(~own)
 
             if clock is None:
+                # Stamps need the batch's clock and size beforehand.
+                counts = _counts(judged)
+                if not counts:
+                    return
                 settled = _by_arrival(judged, counts, stamps, stored_on)
-                write_history(settled.prices, history, run_id, batch_id)
-                write_rejects(settled.rejects, rejects, run_id, batch_id)
+                stored = write_history(settled.prices, history, run_id, batch_id)
+                left = write_rejects(settled.rejects, rejects, run_id, batch_id)
             else:
                 timed = on_clock(judged, clock)
-                write_history(first_prices(timed, _on_days_of(timed, stored_on())), history, run_id, batch_id)
-                write_rejects(left_over(timed, read_batch(spark, history, run_id, batch_id)), rejects, run_id, batch_id)
+                stored = write_history(first_prices(timed, _on_days_of(timed, stored_on())), history, run_id, batch_id)
+                left = write_rejects(left_over(timed, read_batch(spark, history, run_id, batch_id)), rejects, run_id, batch_id)
             if also is not None:
                 also(read_batch(spark, history, run_id, batch_id), batch_id)
+            commit_batch(spark, history, run_id, batch_id)
+            told = Report(run_id, batch_id, stored, left)
+            log.info("%s", told)
+            if report is not None:
+                report(told)
         finally:
             judged.unpersist()
 
