@@ -17,6 +17,7 @@ from tickwell.operators.keys import already_stored, first_by_key, not_stored, re
 from tickwell.operators.validate import accepted, check_lengths, judge, reject_report
 from tickwell.plans import sql
 from tickwell.plans.ingest import ingest
+from tickwell.sources import filters
 from tickwell.sources.events import LEGACY_KINDS, clean_payload, legacy_payload, mixed_payload, records_of, ticks_of
 from tickwell.sources.scratch import shared_folder
 from tickwell.sources.table import append_prices, compact_history, create_price_table, drop_merged, read_history, read_rejects, write_history
@@ -187,6 +188,15 @@ def history_new(spark, sf_dir):
     return not_stored(*_split_by_month_half(spark, sf_dir))
 
 
+def history_filtered(spark, sf_dir):
+    """``history_new`` by key filters, which two batches of the history filled."""
+    batch, history = _split_by_month_half(spark, sf_dir)
+    folder = shared_folder(spark, "filters")
+    for n in range(2):
+        filters.add_keys(history.filter(F.col("event_id") % 2 == n), folder, "run", n)
+    return filters.not_stored_by_filter(batch, folder, lambda days: history.filter(F.to_date("timestamp").isin(days)))
+
+
 def history_known(spark, sf_dir):
     return already_stored(*_split_by_month_half(spark, sf_dir))
 
@@ -571,6 +581,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pk_dedupe": pk_dedupe,
         "pk_repeats": pk_repeats,
         "history_new": history_new,
+        "history_filtered": history_filtered,
         "history_known": history_known,
         "stamp_unique": stamp_unique,
         "ingest_table": ingest_table,
@@ -888,6 +899,9 @@ WITH {_MIXED}, {_RECORDS} SELECT partition, "offset", symbol, price, company, ma
         "pk_repeats": f"WITH {_BY_HOUR} SELECT event_id, symbol, price, timestamp FROM numbered WHERE nth > 1",
         "history_new": f"""
 WITH {_BY_HOUR} SELECT event_id, symbol, price, timestamp FROM numbered WHERE nth = 1 AND timestamp >= TIMESTAMP '{ASOF}'
+""",
+        "history_filtered": f"""
+WITH {_BY_HOUR} SELECT event_id, symbol, price, timestamp FROM numbered WHERE nth = 1 AND timestamp >= TIMESTAMP '{ASOF}'
 """,
         "history_known": f"""
 WITH {_BY_HOUR} SELECT event_id, symbol, price, timestamp FROM numbered WHERE nth = 1 AND timestamp < TIMESTAMP '{ASOF}'

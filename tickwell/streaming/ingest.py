@@ -14,6 +14,7 @@ from tickwell.functions.clock import moment
 from tickwell.operators.validate import accepted, judge
 from tickwell.plans.ingest import Settled, first_prices, left_over, on_clock, settle_by_arrival
 from tickwell.sources.commits import commit_batch, open_run
+from tickwell.sources.filters import add_keys, not_stored_by_filter
 from tickwell.sources.table import read_batch, read_history, write_history, write_rejects
 from tickwell.streaming.report import ARRIVED, Report, arrivals
 
@@ -31,6 +32,7 @@ def start_ingest(
     seconds: int | None = None,
     also: Callable[[DataFrame, int], None] | None = None,
     report: Callable[[Report], None] | None = None,
+    filters: str | None = None,
 ) -> StreamingQuery:
     """Start ingestion of a record stream.
 
@@ -43,6 +45,10 @@ def start_ingest(
     that checkpoint and the batch number, so a replayed batch replaces itself. History and
     rejects of a batch become visible together, by one mark that is written last.
 
+    With ``filters``, a folder of key filters beside the history, keys that a batch brings
+    for the first time are known as such without a look at the history. They must cover
+    it: fill them with ``sources.filters.add_keys`` if the history is older.
+
     Each batch is reported to the log and to ``report``, by counts that the tasks which
     write it keep on the way. What arrived is observed as well: a listener finds it under
     ``streaming.report.ARRIVED``.
@@ -76,7 +82,13 @@ def start_ingest(
                 left = write_rejects(settled.rejects, rejects, run_id, batch_id)
             else:
                 timed = on_clock(judged, clock)
-                stored = write_history(first_prices(timed, _on_days_of(timed, stored_on())), history, run_id, batch_id)
+                if filters is None:
+                    new = first_prices(timed, _on_days_of(timed, stored_on()))
+                else:
+                    new = not_stored_by_filter(first_prices(timed), filters, stored_on)
+                stored = write_history(new, history, run_id, batch_id)
+                if filters is not None:
+                    add_keys(read_batch(spark, history, run_id, batch_id), filters, run_id, batch_id)
                 left = write_rejects(left_over(timed, read_batch(spark, history, run_id, batch_id)), rejects, run_id, batch_id)
             if also is not None:
                 also(read_batch(spark, history, run_id, batch_id), batch_id)
