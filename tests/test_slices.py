@@ -121,3 +121,17 @@ def test_hot_key_is_cut_down_before_the_shuffle(ticks):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
     assert first.count() == 5
     assert repeats_by_key(one_key, order=["id"]).count() == 6001 - 5
+
+
+@pytest.mark.parametrize(("ticks", "slices"), [(1, 9), (120, 40), (3, 60)])
+def test_windows_over_many_slices(spark, ticks, slices):
+    """Windows that reach over several slices, and slices that lie within one window."""
+    rows = spark.range(300).select(
+        F.when(F.col("id") % 5 < 3, "HOT").otherwise("B").alias("symbol"),
+        F.when(F.col("id") % 11 > 0, F.col("id").cast("double")).alias("price"),
+        F.timestamp_micros(F.col("id") * 7_000_000).cast("timestamp_ntz").alias("timestamp"),
+    )
+    along = Window.partitionBy("symbol").orderBy("timestamp")
+    want = rows.withColumns({"moving_avg": F.avg("price").over(along.rowsBetween(1 - ticks, 0)), "change": F.col("price") - F.lag("price").over(along)})
+    found = price_momentum(rows, ticks, slices=slices)
+    assert sorted(map(tuple, found.select("timestamp", "moving_avg", "change").collect())) == sorted(map(tuple, want.select("timestamp", "moving_avg", "change").collect()))

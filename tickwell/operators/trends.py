@@ -75,7 +75,7 @@ def price_momentum(
     order = ["timestamp", *([tie] if tie else [])]
     columns = ["symbol", "price", *order]
     cut = sliced(prices.select(*columns), ["symbol"], order, slices)
-    before = rows_before_slice(cut, "symbol", order, "price", ticks - 1)
+    before = rows_before_slice(cut, "symbol", order, "price", max(ticks - 1, 1))
 
     here = Window.partitionBy("symbol", "_slice").orderBy(*order)
     span = here.rowsBetween(-(ticks - 1), 0)

@@ -61,24 +61,29 @@ def ranked(
 
 
 def rows_before_slice(cut: DataFrame, key: str, order: list[str], value: str, rows: int) -> DataFrame:
-    """Per ``(key, _slice)``: ``_before``, the last ``rows`` values ahead of the slice, in order.
+    """Per ``(key, _slice)`` behind another: ``_before``, the last ``rows`` values ahead of the slice, in order.
 
-    Each slice gives at most ``rows`` of its own rows (kept per task before the
-    shuffle), so the work per group is on its slices, not on its rows.
+    A slice offers at most ``rows`` of its own rows (kept per task before the shuffle). By
+    the running count of rows over the slices it is known which later slices each of them
+    is for, so no slice is sent more than it needs: ``rows`` values, from however many slices.
     """
     backwards = Window.partitionBy(key, "_slice").orderBy(*[F.col(c).desc() for c in order])
     tails = (
         cut.select(key, "_slice", *order, F.col(value).alias("_value"))
         .withColumn("_last", F.row_number().over(backwards))
         .filter(F.col("_last") <= rows)
-        .groupBy(key, "_slice")
-        .agg(F.sort_array(F.collect_list(F.struct(*order, "_value"))).alias("_tail"))
     )
-    # Every slice listed holds a row, so this many slices back hold all that is needed.
-    ahead = Window.partitionBy(key).orderBy("_slice").rowsBetween(-rows, -1)
-    joined = F.flatten(F.collect_list("_tail").over(ahead))
-    return tails.select(key, "_slice", joined.alias("_tail")).select(
-        key, "_slice", last_items(F.col("_tail"), F.lit(rows)).getField("_value").alias("_before")
+    along = Window.partitionBy(key).orderBy("_slice")
+    ends = cut.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n")).withColumns(
+        {"_end": F.sum("_n").over(along), "_to": F.lead("_slice").over(along)}
+    )
+    # Slices whose predecessor ends within reach of this one's end.
+    reach = Window.partitionBy(key).orderBy("_end").rangeBetween(Window.currentRow, max(rows - 1, 0))
+    targets = ends.withColumn("_targets", F.collect_list(F.struct("_to", "_end")).over(reach))
+    wanted = F.filter("_targets", lambda t: t["_to"].isNotNull() & (t["_end"] - F.col("_end") + F.col("_last") <= rows))
+    sent = tails.join(targets.select(key, "_slice", "_end", "_targets"), [key, "_slice"]).withColumn("_target", F.explode(wanted))
+    return sent.groupBy(key, F.col("_target._to").alias("_slice")).agg(
+        F.sort_array(F.collect_list(F.struct(*order, "_value"))).getField("_value").alias("_before")
     )
 
 
