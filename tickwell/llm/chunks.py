@@ -3,67 +3,66 @@
 White space: each run of it counts as one space wherever texts are cut or compared, so a
 passage repeats whatever its line breaks are; places reported are those of the text itself.
 
+Copies: documents with the same words are found by a digest first. The smallest doc_id
+stands for them, and only its text goes on.
+
 Chunks: over the bytes of a text with its white space made single spaces, the gear hash of
-a place is h = 2 * h + table[byte] modulo 2**32, so it knows the last 32 bytes only. A
-place whose hash is the smallest of the ``reach`` places on either side ends a chunk. Cuts
-depend on nothing further away, so what stands before a passage, or is inserted there,
-moves no cut inside it. Longer chunks than ``most`` bytes are cut there.
-
-Dedup: chunks are deduplicated by a 128-bit digest among documents. The first document
-with a digest owns it, where it occurs first there; in every other document it is a copy.
-Which digests more than one document has is found by their first halves, of which each
-task sends the first and the last document; occurrences of others are passed over by a
-Bloom filter of fixed size, and what it lets through meets the owners by plain equi-joins,
-which Spark may split. The filter only saves work: when it is full, the joins do it all.
-
-Spans: adjacent copies in a document whose owners are adjacent in one document too make up
-a span. Runs of copies that could not reach ``least_words`` words even with what may
-belong to the passage on both sides are passed over. A cut depends on 56 bytes before it
-and ``reach`` after it, so a passage begins at most 56 bytes before the chunk in front of
-a run, else that would be a copy too, and ends at most ``reach`` bytes after the chunk
-behind it; where the chunk in front begins at a cut for length, ``CONTEXT`` bytes count. The ``CONTEXT`` bytes around it are compared with those around its owner, and what
-agrees is taken in, so that the span grows to where the texts part. Spans of at least
-``least_words`` whole words are reported, in the copy (kept false) and in its owner (kept
-true). A document's spans with one owner that overlap are one; its words are then those of
-the longest that was compared at once.
-
-Windows: a chunk's owner may have less of a passage than later documents share. Where a
-run of copies has a chunk that no reported span takes in, all windows of ``least_words``
-words in and around the run are hashed, and one more pass over the texts looks for these
-hashes, sent to all tasks as another filter of fixed size. Windows that it lets through
-are deduplicated as chunks were, by digest, each with a first document of its own, so that
-documents which share a passage meet. Adjacent windows with one owner make up a span; it
-reaches as far as that owner is their first document.
-
-Edge cases: null and empty texts have no chunk. A text too short for a cut is one chunk.
-Rows with a null doc_id have no place that could be named and are left out. Rows repeated
-with their id are one document. What repeats within one document only is no repeat. An
-empty table gives no rows. Columns other than doc_id and text are not read.
+a place is h = 2 * h + table[byte] modulo 2**32, so it knows the last 32 bytes only. The
+hashes at the ends of words are winnowed: of every ``reach`` words in a row the one with
+the smallest hash, the last of equal ones, ends a chunk. What stands before a passage, or
+is inserted there, moves no cut that a run of ``reach`` words inside it decides. Chunks
+longer than ``MOST`` bytes are cut there. Chunks are deduplicated by digest: those of two
+documents or more are shared.
+
+Why no passage is lost: let two documents share ``least_words`` words. A word takes two
+bytes at least, so from the 17th word on all hashes are those of the passage alone, and
+with ``reach`` = (least_words - 18) / 2 two runs of words that don't meet lie behind it.
+The cuts of the first run, of the last and all between are the same in both documents, so
+both have all chunks between these cuts: there is one at least, and each of them is
+shared. Only windows of ``least_words`` words whose chunks are all shared may therefore
+repeat; these are deduplicated by a 128-bit digest as well, and those of two documents or
+more are the repeats. A window's first document owns it, in every other it is a copy.
+
+The shared chunks reach the tasks as a Bloom filter, at most 2**MOST_BITS bits whatever the
+corpus. It only saves work: windows it lets through by chance share their digest with none.
+
+Spans: windows that follow each other word by word in a document and have one owner make
+up a span, reported in the copy (kept false) and in its owner (kept true). Every window of
+a span stands in its owner. In text that repeats itself, as one line over and over, windows
+of a span may stand at the same place of the owner; ``owner_start`` is the first of them,
+and the owner's own row tells how far they reach there.
+
+Edge cases: null and empty texts and those under ``least_words`` words have no passage. Rows
+with a null doc_id have no place that could be named and are left out. Rows of one doc_id
+with different texts are texts of one document: each is searched, but what only they share
+is no repeat. Rows repeated with their id are one. What repeats within one document only
+is no repeat. An empty table gives no rows. Columns other than doc_id and text are not read.
 """
 
+import math
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_digest
-
-from tickwell.llm.common import batches_of, stored, utf8
-
-REACH, MOST, LEAST_WORDS = 24, 512, 50
-#: The filter of repeated digests takes 2**26 bits, 8 MB, whatever the corpus.
-FILTER_BITS = 26
-CHUNK = "doc_id long, start long, sizes long, hi long, lo long"
-#: Bytes to either side within which a passage goes on to its end or to the next chunk.
-CONTEXT = MOST + 32 + 2 * REACH
+from xxhash import xxh3_64_intdigest, xxh3_128_digest
+
+from tickwell.llm.common import stored, utf8
+
+MOST, LEAST_WORDS = 512, 50
+#: Words within which a hash may still know bytes from before: 32 bytes are 16 of the shortest words.
+CONTEXT_BYTES, CONTEXT_WORDS = 32, 16
+#: A filter has some bits for each shared chunk, 2**28 (32 MB) at most.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 16, 28
+#: Copies of whole texts that are sent to all tasks, 16 bytes each; more are shuffled.
+BROADCAST_ROWS = 1_000_000
+#: Words of a text that are worked on at once.
+PART = 1 << 16
 _PLAIN = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
 _SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 #: Fixed pseudo-random numbers, one per byte.
 GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
-BYTES = np.random.default_rng(21).integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
-#: An odd number and its inverse modulo 2**64: bases of the hash of windows.
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
+WINDOW = ["hi", "lo", "doc_id", "key", "word", "from", "to"]
 
 
 def collapsed(raw: bytes) -> bytes:
@@ -74,12 +73,6 @@ def collapsed(raw: bytes) -> bytes:
     return out
 
 
-def places_of(raw: bytes) -> np.ndarray:
-    """Where each byte of the collapsed text is in the text, then the text's end."""
-    spaces = _SPACE[np.frombuffer(raw, np.uint8)]
-    return np.r_[np.flatnonzero(~(spaces & np.r_[False, spaces[:-1]])), len(raw)]
-
-
 def gear(data: np.ndarray) -> np.ndarray:
     """The rolling hash at each byte, by doubling the window: 1, 2, 4, ... 32 bytes."""
     h = GEAR[data]
@@ -91,29 +84,42 @@ def gear(data: np.ndarray) -> np.ndarray:
 
 
 def smallest(values: np.ndarray, reach: int) -> np.ndarray:
-    """Minima over ``reach`` places from each on; places beyond the end count as largest."""
-    out = np.concatenate([values, np.full(reach, np.iinfo(values.dtype).max, values.dtype)])
-    width = 1
+    """Minima of each ``reach`` values in a row."""
+    out, width = values, 1
     while width < reach:
         step = min(width, reach - width)
         out = np.minimum(out[: len(out) - step], out[step:])
         width += step
-    return out[: len(values)]
-
-
-def ends(raw: bytes, reach: int = REACH, most: int = MOST) -> np.ndarray:
-    """Where the chunks of a text that isn't empty end."""
-    h = gear(np.frombuffer(raw, np.uint8))
-    after = smallest(h, reach + 1)
-    before = smallest(h[::-1], reach + 1)[::-1]
-    low = (h == after) & (h == before)
-    low[:reach] = False
-    if reach:
-        low[-reach:] = False
-        tie = np.concatenate([[False], low[:-1] & (h[1:] == h[:-1])])
-        low &= ~tie
-    cuts = np.r_[0, np.flatnonzero(low) + 1, len(raw)]
-    cuts = np.unique(cuts)
+    return out
+
+
+def words_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end."""
+    inside = ~_SPACE[np.frombuffer(raw, np.uint8)]
+    edges = np.flatnonzero(np.diff(np.r_[False, inside, False]))
+    return edges[::2], edges[1::2]
+
+
+def reach_of(least_words: int) -> int:
+    if least_words < CONTEXT_WORDS + 4:
+        raise ValueError(f"passages of {CONTEXT_WORDS + 4} words at least")
+    return (least_words - CONTEXT_WORDS - 2) // 2
+
+
+def winnowed(h: np.ndarray, reach: int) -> np.ndarray:
+    """For each ``reach`` words in a row the last of those with the smallest hash."""
+    later = np.uint64(0xFFFFFFFF) - np.arange(len(h), dtype=np.uint64)
+    least = smallest((h.astype(np.uint64) << np.uint64(32)) | later, min(reach, len(h)))
+    return (np.uint64(0xFFFFFFFF) - (least & np.uint64(0xFFFFFFFF))).astype(np.int64)
+
+
+def ends(raw: bytes, reach: int | None = None, most: int = MOST) -> np.ndarray:
+    """Where the chunks of a collapsed text that isn't empty end."""
+    start, end = words_of(raw)
+    cuts = np.zeros(0, np.int64)
+    if len(end):
+        cuts = end[np.unique(winnowed(gear(np.frombuffer(raw, np.uint8))[end - 1], reach or reach_of(LEAST_WORDS)))]
+    cuts = np.unique(np.r_[0, cuts, len(raw)])
     gaps = np.diff(cuts)
     if gaps.max() > most:
         extra = [np.arange(a + most, b, most) for a, b in zip(cuts[:-1][gaps > most], cuts[1:][gaps > most], strict=True)]
@@ -121,324 +127,170 @@ def ends(raw: bytes, reach: int = REACH, most: int = MOST) -> np.ndarray:
     return cuts[1:]
 
 
-def word_starts(raw: bytes) -> np.ndarray:
-    """How many words start before each place, up to the end."""
-    spaces = _SPACE[np.frombuffer(raw, np.uint8)]
-    return np.cumsum(np.r_[0, ~spaces & np.r_[True, spaces[:-1]]])
+class Cut:
+    """A part of a text that is worked on at once: its words, its cuts and the chunks between them."""
 
+    def __init__(self, flat: bytes, start: np.ndarray, end: np.ndarray, reach: int):
+        base = int(start[0])
+        self.flat, self.start, self.end = flat[base : int(end[-1])], start - base, end - base
+        self.least = winnowed(gear(np.frombuffer(self.flat, np.uint8))[self.end - 1], reach)
+        self.cuts = np.unique(self.least)
 
-def margins(before: np.ndarray, start: np.ndarray, end: np.ndarray, reach: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """At most how many words a passage has before and after each chunk, if the chunks next to it are no copies."""
-    in_front = np.r_[0, start[:-1]]
-    by_length = np.r_[False, False, (end - start)[:-2] == most][: len(start)]
-    first = np.maximum(0, np.where(by_length, np.minimum(in_front - 32 - reach - 1, start - CONTEXT), in_front - 32 - reach - 1))
-    last = np.minimum(end[-1], np.r_[end[1:], end[-1]] + reach)
-    return before[start] - before[first] + 1, before[last] - before[end] + 1
+    def digests(self) -> np.ndarray:
+        """Of the chunk between each cut and the next; those longer than ``MOST`` by a digest of the pieces they are cut into."""
+        lows, highs = self.start[self.cuts[:-1] + 1], self.end[self.cuts[1:]]
+        flat = self.flat
+        out = [xxh3_64_intdigest(flat[a:b]) if b - a <= MOST else _of_pieces(flat[a:b]) for a, b in zip(lows.tolist(), highs.tolist(), strict=True)]
+        return np.array(out, np.uint64).view(np.int64)
 
+    def windows(self, shared: np.ndarray, n: int, reach: int) -> np.ndarray:
+        """Windows of n words all of whose chunks are ``shared``, by their first word."""
+        first = np.arange(len(self.start) - n + 1)
+        # The first word whose hash knows the window's bytes alone, and the cuts of the first and last run behind it.
+        alone = np.searchsorted(self.end, self.start[first] + CONTEXT_BYTES)
+        low, high = (np.searchsorted(self.cuts, self.least[at]) for at in (alone, first + n - reach))
+        known = np.cumsum(np.r_[0, shared])
+        return first[known[high] - known[low] == high - low]
 
-def chunked(docs: DataFrame, reach: int = REACH, most: int = MOST) -> DataFrame:
-    """(doc_id, start, sizes, hi, lo) of every chunk; places are bytes of the collapsed text in UTF-8.
 
-    ``sizes`` are four numbers of 15 bits: the chunk's length, and at most how many words
-    it has, and how many a passage may have before it and after it if it begins or ends a run.
-    """
-    if most >= 1 << 15:
-        raise ValueError("chunks of 32,767 bytes at most")
+def _of_pieces(chunk: bytes) -> int:
+    return xxh3_64_intdigest(b"".join(xxh3_128_digest(chunk[i : i + MOST]) for i in range(0, len(chunk), MOST)))
 
-    def cut(batches):
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                owners, starts, sizes, digests = [], [], [], []
-                for doc_id, raw in zip(part.column(0).to_pylist(), utf8(part.column(1)), strict=True):
-                    if not raw:
-                        continue
-                    raw = collapsed(raw)
-                    end = ends(raw, reach, most)
-                    start = np.r_[0, end[:-1]]
-                    digests += [xxh3_128_digest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-                    owners.append(np.full(len(end), doc_id))
-                    starts.append(start)
-                    before = word_starts(raw)
-                    words = before[end] - before[start] + 1
-                    most_words = [np.minimum(w, 0x7FFF) for w in (words, *margins(before, start, end, reach, most))]
-                    sizes.append((end - start) | (most_words[0] << 15) | (most_words[1] << 30) | (most_words[2] << 45))
-                if owners:
-                    halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                    columns = [np.concatenate(owners), np.concatenate(starts), np.concatenate(sizes), halves[:, 0].copy(), halves[:, 1].copy()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "sizes", "hi", "lo"])
 
-    own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    return own.mapInArrow(cut, CHUNK)
+def parts(raw: bytes, least_words: int):
+    """(number of its first word, Cut) of a text part by part; parts overlap, so that each window lies in one."""
+    flat, reach = collapsed(raw), reach_of(least_words)
+    start, end = words_of(flat)
+    for low in range(0, len(start) - least_words + 1, PART):
+        part = slice(low, low + PART + least_words - 1)
+        yield low, Cut(flat, start[part], end[part], reach)
 
 
-def _size(n: int):
-    return F.shiftright("sizes", 15 * n).bitwiseAND(F.lit(0x7FFF))
+def _own(docs: DataFrame) -> DataFrame:
+    """doc_id, key, text: the key tells apart texts of one id."""
+    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.select("doc_id", F.xxhash64("text").alias("key"), "text")
 
 
-def filter_of(hashes: DataFrame) -> np.ndarray:
-    """A Bloom filter, one bit of 2**FILTER_BITS for each of the numbers ``hi``; its words reach the driver summed up."""
-    bit = F.col("hi").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    words = hashes.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(hi & 63))")).alias("bits"))
-    found = words.toArrow()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    out[found["at"].to_numpy()] = found["bits"].to_numpy()
-    return out.view(np.uint64)
+def whole_texts(own: DataFrame, least_words: int) -> DataFrame:
+    """(hi, lo, doc_id, key, word, from, to) of each text as if it were one window; ``word`` counts its words."""
 
+    def look(batches):
+        for batch in batches:
+            rows = []
+            for doc_id, key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
+                start, end = words_of(raw)
+                if len(start) >= least_words:
+                    low, high = int(start[0]), int(end[-1])
+                    digest = xxh3_128_digest(collapsed(raw[low:high]))
+                    rows.append((*np.frombuffer(digest, "<i8").tolist(), doc_id, key, len(start), low, high))
+            if rows:
+                yield [np.array(c) for c in zip(*rows, strict=True)]
 
-def maybe_in(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = hashes.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
-    return (filter_[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-
+    return own.mapInArrow(lambda batches: _gathered(look(batches), WINDOW), ", ".join(f"{c} long" for c in WINDOW))
 
-def copies(chunks: DataFrame) -> DataFrame:
-    """Occurrences of chunks in documents other than their owner's, with the owner's place."""
-    shared = stored(chunks.groupBy("hi").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("hi"), "shared")
-    filter_ = filter_of(shared)
 
-    def let_through(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(maybe_in(filter_, batch.column("hi").to_numpy())))
-
-    found = stored(chunks.mapInArrow(let_through, CHUNK).join(shared, "hi"), "found")
-    owned = found.groupBy("hi", "lo").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").drop("last")
-    both = found.join(owned, ["hi", "lo"])
-    first = both.where("doc_id = owner").groupBy("hi", "lo").agg(F.min("start").alias("owner_start"))
-    return both.where("doc_id <> owner").join(first, ["hi", "lo"]).select("doc_id", "start", "sizes", "owner", "owner_start").distinct()
-
-
-def wordy(copied: DataFrame, least_words: int) -> DataFrame:
-    """The copies in runs that may reach so many words with what is around them; ``length`` for ``sizes``."""
-    line = Window.partitionBy("doc_id").orderBy("start")
-    sized = copied.withColumns({"length": _size(0), "words": _size(1), "before": _size(2), "after": _size(3)}).drop("sizes")
-    apart = F.coalesce(F.lag(F.col("start") + F.col("length")).over(line) != F.col("start"), F.lit(True))
-    runs = sized.withColumn("new", apart.cast("int")).withColumn("run", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    run = Window.partitionBy("doc_id", "run")
-    along = run.orderBy("start").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    most = F.sum("words").over(run) + F.first("before").over(along) + F.last("after").over(along)
-    return runs.withColumn("most", most).where(F.col("most") >= least_words).select("doc_id", "start", "length", "owner", "owner_start")
-
-
-def spans(copied: DataFrame) -> DataFrame:
-    """(doc_id, start, end, owner, owner_start) of adjacent copies with adjacent owners."""
-    line = Window.partitionBy("doc_id").orderBy("start")
-    goes_on = (
-        (F.lag("owner").over(line) == F.col("owner"))
-        & (F.lag(F.col("start") + F.col("length")).over(line) == F.col("start"))
-        & (F.lag(F.col("owner_start") + F.col("length")).over(line) == F.col("owner_start"))
-    )
-    numbered = copied.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("span", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    edges = numbered.groupBy("doc_id", "span").agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"), F.min("owner").alias("owner"), F.min("owner_start").alias("owner_start"))
-    return edges.drop("span")
-
-
-def windows(flat: bytes, n: int, at_once: int = 1 << 16):
-    """Arrays (word, start, end, hash) of each n words in a row of a collapsed text, so many windows at a time."""
-    space = np.frombuffer(flat, np.uint8) == 32
-    starts = np.flatnonzero(~space & np.r_[True, space[:-1]])
-    stops = np.flatnonzero(~space & np.r_[space[1:], True]) + 1
-    for i in range(0, len(starts) - n + 1, at_once):
-        start = starts[i : min(i + at_once, len(starts) - n + 1)]
-        end = stops[i + n - 1 : i + n - 1 + len(start)]
-        data = np.frombuffer(flat, np.uint8)[start[0] : end[-1]]
-        powers, inverses = (np.cumprod(np.r_[np.uint64(1), np.full(len(data) - 1, b, np.uint64)]) for b in (BASE, INVERSE))
-        sums = np.r_[np.uint64(0), np.cumsum(BYTES[data] * powers)]
-        h = (sums[end - start[0]] - sums[start - start[0]]) * inverses[start - start[0]]
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(BASE)
-        yield np.arange(i, i + len(start)), start, end, (h ^ (h >> np.uint64(29))).view(np.int64)
-
-
-def left_over(copied: DataFrame, reported: DataFrame) -> DataFrame:
-    """(doc_id, runs) of the runs of copies (start, end) that have a chunk in no reported span."""
-    line = Window.partitionBy("doc_id").orderBy("start", F.desc("span")).rowsBetween(Window.unboundedPreceding, 0)
-    each = copied.select("doc_id", "start", (F.col("start") + F.col("length")).alias("end"), F.lit(0).alias("span"))
-    both = each.distinct().unionByName(reported.select("doc_id", "start", "end", F.lit(1).alias("span")))
-    marked = both.withColumn("reach", F.max(F.when(F.col("span") == 1, F.col("end"))).over(line)).where("span = 0")
-    own = Window.partitionBy("doc_id").orderBy("start")
-    apart = F.coalesce(F.lag("end").over(own) != F.col("start"), F.lit(True))
-    numbered = marked.withColumn("new", apart.cast("int")).withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = numbered.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max(F.coalesce(F.col("reach") < F.col("end"), F.lit(True))).alias("open"))
-    return runs.where("open").groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-
-
-def windows_around(docs: DataFrame, runs: DataFrame, n: int) -> DataFrame:
-    """Hashes ``hi`` of the windows in and around the runs."""
-    few = filter_of(runs.select(F.xxhash64("doc_id").alias("hi")))
-
-    @F.pandas_udf("boolean")
-    def named(hashes: pd.Series) -> pd.Series:
-        return pd.Series(maybe_in(few, hashes.to_numpy()))
+def _gathered(lists, names: list[str], least: int = 20_000):
+    """Arrow batches of lists of columns, put together until they have so many rows."""
 
-    def look(batches):
-        for batch in batches:
-            for raw, own in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                low, high = (np.array(sorted(r[c] for r in own)) for c in ("start", "end"))
-                for _, start, end, h in windows(collapsed(raw), n):
-                    # Runs lie apart, so the last that begins before a window's end reaches furthest.
-                    last = np.searchsorted(low - CONTEXT, end, side="left") - 1
-                    near = (last >= 0) & (high[last] + CONTEXT > start)
-                    if near.any():
-                        yield pa.RecordBatch.from_arrays([pa.array(h[near], pa.int64())], names=["hi"])
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*held, strict=True)], names=names)
 
-    own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    return own.where(named(F.xxhash64("doc_id"))).join(runs, "doc_id").select("text", "runs").mapInArrow(look, "hi long").distinct()
+    held, n = [], 0
+    for columns in lists:
+        held.append(columns)
+        n += len(columns[0])
+        if n >= least:
+            yield batch()
+            held, n = [], 0
+    if held:
+        yield batch()
 
 
-def windows_found(docs: DataFrame, filter_: np.ndarray, n: int) -> DataFrame:
-    """Each window whose hash the filter lets through: its place, its first word's number, its digest."""
-    names = ["doc_id", "start", "end", "word", "from", "to", "hi", "lo"]
+def chunk_digests(own: DataFrame, least_words: int) -> DataFrame:
+    """(hi, doc_id) of the chunks of every text that has a window."""
 
     def look(batches):
         for batch in batches:
-            for row, doc_id in enumerate(batch.column(0).to_pylist()):
-                raw = utf8(batch.column(1).slice(row, 1))[0]
-                flat = collapsed(raw)
-                at = None
-                for word, start, end, h in windows(flat, n):
-                    hit = maybe_in(filter_, h)
-                    if not hit.any():
-                        continue
-                    if at is None:
-                        at = np.arange(len(raw) + 1) if len(flat) == len(raw) else places_of(raw)
-                    word, start, end = word[hit], start[hit], end[hit]
-                    halves = np.frombuffer(b"".join(xxh3_128_digest(flat[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)), "<i8").reshape(-1, 2)
-                    columns = [np.full(len(word), doc_id), start, end, word, at[start], at[end - 1] + 1, halves[:, 0], halves[:, 1]]
-                    yield [c.tolist() for c in columns]
+            for doc_id, raw in zip(batch.column(0).to_pylist(), utf8(batch.column(2)), strict=True):
+                for _, part in parts(raw, least_words):
+                    digests = np.unique(part.digests())
+                    yield [digests, np.full(len(digests), doc_id)]
 
-    def run(batches):
-        return batches_of(gathered(look(batches)), names, [pa.int64()] * len(names))
+    return own.mapInArrow(lambda batches: _gathered(look(batches), ["hi", "doc_id"]), "hi long, doc_id long")
 
 
-    own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    return own.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+def filter_of(hashes: DataFrame) -> np.ndarray:
+    """A Bloom filter of the numbers ``hi``, as large as their count asks for; its words reach the driver summed up."""
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(BITS_EACH * hashes.count() + 1))))
+    words = hashes.groupBy(F.shiftright(F.col("hi").bitwiseAND(F.lit((1 << bits) - 1)), 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(hi & 63))")).alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy()
+    return out.view(np.uint64)
 
 
-def of_windows(found: DataFrame, n: int) -> DataFrame:
-    """Spans, as ``grown`` gives them, of windows in documents other than their first one."""
-    place = F.struct("doc_id", "start", "from", "to")
-    owned = found.groupBy("hi", "lo").agg(F.min(place).alias("o"), F.max("doc_id").alias("last")).where("o.doc_id < last")
-    owner = [F.col("o.doc_id").alias("owner"), F.col("o.start").alias("owner_start"), F.col("o.from").alias("owner_from"), F.col("o.to").alias("owner_to")]
-    copied = found.join(owned.select("hi", "lo", *owner), ["hi", "lo"]).where("doc_id <> owner").drop("hi", "lo")
-    line = Window.partitionBy("doc_id", "owner", F.col("owner_start") - F.col("start")).orderBy("start")
-    reached = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
-    numbered = copied.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn("island", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    edges = [*[F.min(c).alias(c) for c in ("start", "owner_start", "from", "owner_from")], *[F.max(c).alias(c) for c in ("end", "to", "owner_to")]]
-    words = (F.max("word") - F.min("word") + n).cast("long").alias("words")
-    whole = numbered.groupBy("doc_id", "owner", (F.col("owner_start") - F.col("start")).alias("shift"), "island").agg(*edges, words)
-    return whole.select(*[c.split()[0] for c in SPAN.split(", ")])
-
-
-def surroundings(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """Adds to places (doc_id, start, end) of the collapsed text where they are in the text, what stands before and after there, and the words between."""
-    names = ["doc_id", "start", "end", "from", "to", "before", "after", "words", "first", "last"]
-    types = [*[pa.int64()] * 5, pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.bool_()]
+def maybe_in(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes.view(np.uint64) & np.uint64(len(filter_) * 64 - 1)
+    return (filter_[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
-    def look(batches):
-        for batch in batches:
-            for row in range(len(batch)):
-                doc_id, raw = batch.column(0)[row].as_py(), utf8(batch.column(1).slice(row, 1))[0]
-                flat = collapsed(raw)
-                at = range(len(raw) + 1) if len(flat) == len(raw) else places_of(raw)
-                out = []
-                for place in batch.column(2)[row].as_py():
-                    a, b = place["start"], place["end"]
-                    core = flat[a:b]
-                    own, far = (int(at[x]) for x in (a, b))
-                    before, after = raw[int(at[max(0, a - CONTEXT)]) : own], raw[far : int(at[min(len(flat), b + CONTEXT)])]
-                    out.append((doc_id, a, b, own, far, before, after, len(core.split()), not core[:1].isspace(), not core[-1:].isspace()))
-                yield [list(c) for c in zip(*out, strict=True)]
-
-    def run(batches):
-        return batches_of(gathered(look(batches)), names, types)
-
-    each = places.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("places"))
-    wide = each.join(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id").select("doc_id", "text", "places")
-    return wide.mapInArrow(run, "doc_id long, start long, end long, from long, to long, before binary, after binary, words long, first boolean, last boolean")
-
-
-def gathered(lists, least: int = 1000):
-    """Tuples of lists, put together until they have so many rows."""
-    held = None
-    for columns in lists:
-        held = columns if held is None else [[*x, *y] for x, y in zip(held, columns, strict=True)]
-        if len(held[0]) >= least:
-            yield held
-            held = None
-    if held is not None:
-        yield held
 
+def windows(own: DataFrame, shared: np.ndarray, least_words: int) -> DataFrame:
+    """Windows whose chunks may all be shared: digest, place, number of the first word, bytes of the text."""
+    reach = reach_of(least_words)
 
-def agreeing(a: bytes, b: bytes) -> int:
-    """How many bytes two strings have in common at their beginning."""
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)) if n else []
-    return int(differ[0]) if len(differ) else n
+    def look(batches):
+        for batch in batches:
+            for doc_id, key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
+                places = None
+                for low, part in parts(raw, least_words):
+                    first = part.windows(maybe_in(shared, part.digests()), least_words, reach)
+                    if not len(first):
+                        continue
+                    if places is None:
+                        places = words_of(raw)
+                    last = first + least_words - 1
+                    flat = part.flat
+                    digests = b"".join([xxh3_128_digest(flat[a:b]) for a, b in zip(part.start[first].tolist(), part.end[last].tolist(), strict=True)])
+                    halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
+                    n = len(first)
+                    yield [halves[:, 0], halves[:, 1], np.full(n, doc_id), np.full(n, key), low + first, places[0][low + first], places[1][low + last]]
 
+    return own.mapInArrow(lambda batches: _gathered(look(batches), WINDOW), ", ".join(f"{c} long" for c in WINDOW))
 
-def whole_words(before: bytes, left: int, words: int, first: bool, last: bool, after: bytes, right: int) -> int:
-    """Whole words in a span of ``words`` words that takes in so many bytes at its sides."""
-    head, tail = before[len(before) - left :], after[:right]
-    n = words + len(head.split()) + len(tail.split())
-    n -= bool(head) and first and not head[-1:].isspace()
-    n -= bool(tail) and last and not tail[:1].isspace()
-    edge = before[: len(before) - left][-1:]
-    n -= bool(edge) and not edge.isspace() and not (head[:1].isspace() if head else not first)
-    edge = after[right:][:1]
-    return n - (bool(edge) and not edge.isspace() and not (tail[-1:].isspace() if tail else not last))
 
+def copies(found: DataFrame) -> DataFrame:
+    """Windows in documents other than the first that has them, with their place in that one."""
+    place = F.struct("doc_id", "key", "word", "from", "to")
+    owned = found.groupBy("hi", "lo").agg(F.min(place).alias("o"), F.max("doc_id").alias("last")).where("o.doc_id < last")
+    owner = [F.col(f"o.{c}").alias(name) for c, name in (("doc_id", "owner"), ("key", "owner_key"), ("from", "owner_from"), ("to", "owner_to"))]
+    return found.join(owned.select("hi", "lo", *owner), ["hi", "lo"]).where("doc_id <> owner").drop("hi", "lo")
 
-#: ``start`` and ``end`` are places of the collapsed text, ``from`` and ``to`` of the text.
-SPAN = "doc_id long, start long, end long, owner long, owner_start long, words long, from long, to long, owner_from long, owner_to long"
 
+def spans(copied: DataFrame, least_words: int) -> DataFrame:
+    """(doc_id, from, to, words, owner, owner_from, owner_to) of windows that follow each other and have one owner."""
+    unit = ["doc_id", "key", "owner", "owner_key"]
+    line = Window.partitionBy(*unit).orderBy("word")
+    numbered = copied.distinct().withColumn("span", F.col("word") - F.row_number().over(line))
+    edges = [F.min("from").alias("from"), F.max("to").alias("to"), F.min("owner_from").alias("owner_from"), F.max("owner_to").alias("owner_to")]
+    return numbered.groupBy(*unit, "span").agg(*edges, (F.count("*") + least_words - 1).alias("words")).drop("key", "owner_key", "span")
 
-def grown(places: DataFrame, least_words: int) -> DataFrame:
-    """Spans of enough words after they took in what agrees around them and their owner."""
-    names = [c.split()[0] for c in SPAN.split(", ")]
 
-    def grow(batches):
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                before, after, owner_before, owner_after = (collapsed(r[c]) for c in ("before", "after", "owner_before", "owner_after"))
-                left = agreeing(before[::-1], owner_before[::-1])
-                right = agreeing(after, owner_after)
-                n = whole_words(before, left, r["words"], r["first"], r["last"], after, right)
-                if n >= least_words:
-                    edges = []
-                    for own, flat in (("", before), ("owner_", owner_before)):
-                        edges.append(r[own + "from"] - len(r[own + "before"]) + int(places_of(r[own + "before"])[len(flat) - left]))
-                        edges.append(r[own + "to"] + int(places_of(r[own + "after"])[right]))
-                    out.append((r["doc_id"], r["start"] - left, r["end"] + right, r["owner"], r["owner_start"] - left, n, *edges))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
-
-    return places.mapInArrow(grow, SPAN)
-
-
-def islands(found: DataFrame) -> DataFrame:
-    """Spans of a document with one owner that overlap as one; ``words`` is then the largest of theirs."""
-    line = Window.partitionBy("doc_id", "owner", F.col("owner_start") - F.col("start")).orderBy("start")
-    reached = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
-    numbered = found.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn("island", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    edges = [*[F.min(c).alias(c) for c in ("start", "owner_start", "from", "owner_from")], *[F.max(c).alias(c) for c in ("end", "words", "to", "owner_to")]]
-    return numbered.groupBy("doc_id", "owner", (F.col("owner_start") - F.col("start")).alias("shift"), "island").agg(*edges).drop("island", "shift")
-
-
-def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, reach: int = REACH, most: int = MOST) -> DataFrame:
+def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, start, length, words, owner, owner_start, kept of each repeated span; places in bytes of the text."""
-    copied = stored(wordy(copies(stored(chunked(docs, reach, most), "chunks")), least_words), "copied")
-    found = stored(spans(copied), "spans")
-    owners = found.select(F.col("owner").alias("doc_id"), F.col("owner_start").alias("start"), (F.col("owner_start") + F.col("end") - F.col("start")).alias("end"))
-    places = stored(surroundings(docs, found.select("doc_id", "start", "end").unionByName(owners).distinct()), "places")
-    theirs = places.select(F.col("doc_id").alias("owner"), *[F.col(c).alias(f"owner_{c}") for c in ("start", "end", "from", "to", "before", "after")])
-    both = found.withColumn("owner_end", F.col("owner_start") + F.col("end") - F.col("start")).join(places, ["doc_id", "start", "end"]).join(theirs, ["owner", "owner_start", "owner_end"])
-    whole = stored(islands(grown(both, least_words)), "repeats")
-    runs = stored(left_over(copied, whole), "runs")
-    if not runs.isEmpty():
-        filter_ = filter_of(windows_around(docs, runs, least_words))
-        more = of_windows(stored(windows_found(docs, filter_, least_words), "windows"), least_words)
-        whole = stored(islands(whole.unionByName(more)), "whole")
+    own = _own(docs)
+    same = stored(copies(stored(whole_texts(own, least_words), "texts")).distinct(), "same")
+    gone = same.select("doc_id", "key").distinct()
+    if same.count() <= broadcast_rows:
+        gone = F.broadcast(gone)
+    rest = own.join(gone, ["doc_id", "key"], "left_anti")
+
+    chunks = chunk_digests(rest, least_words).groupBy("hi").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    shared = filter_of(stored(chunks.where("first < last").select("hi"), "shared"))
+    found = spans(copies(stored(windows(rest, shared, least_words), "windows")), least_words)
+    names = ["doc_id", "from", "to", "words", "owner", "owner_from", "owner_to"]
+    whole = stored(found.select(*names).unionByName(same.withColumnRenamed("word", "words").select(*names)), "spans")
     length, owner_length = F.col("to") - F.col("from"), F.col("owner_to") - F.col("owner_from")
     copy = whole.select("doc_id", F.col("from").alias("start"), length.alias("length"), "words", "owner", F.col("owner_from").alias("owner_start"), F.lit(False).alias("kept"))
-    own = whole.select(F.col("owner").alias("doc_id"), F.col("owner_from").alias("start"), owner_length.alias("length"), "words", "owner", F.col("owner_from").alias("owner_start"), F.lit(True).alias("kept"))
-    return copy.unionByName(own.distinct())
+    first = whole.select(F.col("owner").alias("doc_id"), F.col("owner_from").alias("start"), owner_length.alias("length"), "words", "owner", F.col("owner_from").alias("owner_start"), F.lit(True).alias("kept"))
+    return copy.unionByName(first.distinct())
