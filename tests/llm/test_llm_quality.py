@@ -32,3 +32,12 @@ def test_nothing_to_learn_from(spark):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     assert [r.score for r in quality.rank(docs, labels, F.lit(True)).collect()] == [0.5]
     assert quality.rank(docs.limit(0), labels.limit(0), F.lit(True)).count() == 0
+
+
+def test_rows_that_repeat_an_id_count_once(spark):
+    """However often a labelled id occurs, the driver gets one row for it, and learns the same."""
+    docs = spark.createDataFrame([(i, prose(i, 40 + i), "en", "a", 1) for i in range(12)], DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    many = docs.unionByName(docs.where("doc_id = 3").join(spark.range(500).select(F.lit(1).alias("x")), F.col("doc_id") > 0).drop("x"))
+    one, two = quality.learn(docs, labels), quality.learn(many, labels)
+    assert np.array_equal(one.weights, two.weights) and one.threshold == two.threshold

@@ -11,8 +11,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round maps every vertex to its smallest neighbour or itself and draws the edges
     again between what the vertices were mapped to. A component's smallest vertex always
-    stays; all others that are not smaller than their neighbours go, so that the rounds
-    grow with the logarithm of a component's size.
+    stays; all others that are not smaller than their neighbours go. Where names have no
+    order along the edges, as with hashes, rounds grow with the logarithm of a component's
+    size; a chain whose names rise from end to end takes as many rounds as it has edges.
     """
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     labels = None

@@ -108,7 +108,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, cut: float =
     """A ranking from ``sample`` labelled rows at most: all, or those with the smallest hash of their id.
 
     The chosen labels, of at most ``sample`` rows, go to the documents. Features, not
-    texts, reach the driver.
+    texts, reach the driver, one row per label: of rows that repeat an id the smallest.
     """
     marked = labels.where("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
     share = min(1.0, sample / max(1, marked.count()))
@@ -120,7 +120,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, cut: float =
     def of(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: features(t).tobytes())
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(of("text").alias("f"), "quality").toArrow()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", of("text").alias("f"), "quality")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("f").alias("f")).toArrow()
     # In an order of their own, so that the same rows make the same pairs.
     pairs = sorted(zip(rows["f"].to_pylist(), rows["quality"].to_pylist(), strict=True))
     return Ranking([(np.frombuffer(f, float), q) for f, q in pairs], cut)
