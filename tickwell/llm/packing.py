@@ -31,6 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +40,9 @@ from tickwell.llm.common import stored, utf8
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bin_class long, worker long, number long"
 #: Distinct words whose ids a Python worker keeps, twice: those in use and those of before.
-KEPT_WORDS = 160_000
+KEPT_WORDS = 300_000
+#: Characters of texts that are looked up together.
+AT_ONCE = 1 << 21
 _TAIL = ".,;:!?"
 #: Fixed value: how a byte-level BPE of this kind cuts a text.
 _PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -104,13 +107,47 @@ class WordIds(dict):
                 spelt = f" {word}".encode().decode("latin-1").translate(self.letters)
                 ids = packed([t.id for t in self.model.tokenize(spelt)])
         if len(self) >= KEPT_WORDS:
-            self.before = dict(self)
+            # The oldest go first, so that no more than two tables are held at once.
+            self.before.clear()
+            self.before.update(self)
             self.clear()
         self[word] = ids
         return ids
 
     def of(self, texts: list[str]) -> list[bytes]:
-        return [self.ids(t) for t in texts]
+        """Ids of each text; of common texts some at a time, so that a word is looked up once among them."""
+        out: list[bytes] = [b""] * len(texts)
+        some, size = [], 0
+        for i, text in enumerate(texts):
+            if _ODD_SPACE.search(text):
+                out[i] = self.ids(text)
+                continue
+            some.append(i)
+            size += len(text)
+            if size >= AT_ONCE:
+                self._together(texts, some, out)
+                some, size = [], 0
+        if some:
+            self._together(texts, some, out)
+        return out
+
+    def _together(self, texts: list[str], some: list[int], out: list[bytes]) -> None:
+        """Ids of some texts whose words lie one space apart: each distinct word's once, then copied to where it stands."""
+        split = pc.split_pattern(pa.array([texts[i] for i in some], pa.string()), " ")
+        edges, words = split.offsets.to_numpy(), split.values.dictionary_encode()
+        ids = list(map(self.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        at = words.indices.to_numpy()
+        each = sizes[at]
+        # A text's first word has no space before it.
+        each[edges[:-1]] = 0
+        ends = np.cumsum(each)
+        known = np.frombuffer(b"".join(ids), "<u4")
+        tokens = known[np.repeat(starts[at] - ends + each, each) + np.arange(ends[-1])]
+        bounds = np.r_[0, ends][edges].tolist()
+        for i, low, high in zip(some, bounds, bounds[1:]):
+            out[i] = self.whole(texts[i].partition(" ")[0]) + tokens[low:high].tobytes()
 
     def ids(self, text: str) -> bytes:
         first, *rest = parts(text)
