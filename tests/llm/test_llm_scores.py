@@ -63,18 +63,95 @@ def test_probabilities_sum_to_one():
     assert np.allclose(p[:, known].sum(axis=1) + p[:, -1], 1, atol=1e-9)
 
 
-def test_seating_follows_the_restaurant():
-    """Tables opened by n customers of one dish, against customers seated one by one."""
-    rng = np.random.default_rng(2)
-    n, fresh, discount = 400, 0.5, 0.6
-    fast = pitman_yor.seat(np.full(3000, n), np.full(3000, fresh), discount, rng).mean()
-    slow = []
-    for _ in range(300):
-        tables = 1
-        for m in range(1, n):
-            tables += rng.random() < fresh / (fresh + m - discount * tables)
-        slow.append(tables)
-    assert abs(fast - np.mean(slow)) < 0.15
+def table_law(n, weight, discount):
+    """Mean and spread of the number of tables of n customers, each table weighing the same."""
+    ways = [0.0, 1.0]  # of sitting at 0, 1 ... tables, weighted and scaled
+    for m in range(1, n):
+        ways = [0.0] + [ways[t - 1] * weight + (m - t * discount) * (ways[t] if t <= m else 0) for t in range(1, m + 2)]
+        top = max(ways)
+        ways = [w / top for w in ways]
+    p = np.array(ways) / sum(ways)
+    t = np.arange(n + 1)
+    return (p * t).sum(), math.sqrt((p * t * t).sum() - (p * t).sum() ** 2)
+
+
+@pytest.mark.parametrize("n, weight, discount", [(2, 0.5, 0.6), (60, 0.5, 0.6), (60, 5, 0.8), (300, 5, 0.3), (700, 0.5, 0.6), (900, 5, 0.8), (900, 50, 0.5)])
+def test_tables_follow_their_conditional_law(n, weight, discount):
+    mean, spread = table_law(n, weight, discount)
+    many = np.full(20_000, n)
+    got = pitman_yor.reseat(many, np.ones_like(many), lambda rows, i: np.full(np.broadcast(rows, i).shape, math.log(weight)), discount, np.random.default_rng(2))
+    exact = n <= pitman_yor.EXACT
+    assert abs(got.mean() - mean) < (0.03 * spread if exact else 0.04 * mean)
+    assert abs(got.std() - spread) < (0.05 if exact else 0.08) * spread
+
+
+def test_scores_against_customers_seated_one_by_one():
+    """Probabilities after blocked sweeps, against a plain sampler that moves one customer at a time."""
+    import random
+
+    contexts, words, low, high = 3, 6, 0.5, 0.5
+    table = np.random.default_rng(5).poisson(4, (contexts, words)) * np.array([1, 0, 1, 2, 1, 1])
+    context, word = np.divmod(np.arange(table.size), words)
+    sums = np.zeros(pitman_yor.SUMS)
+    sums[:contexts] = table.sum(axis=1)
+    known = int((table.sum(axis=0) > 0).sum())
+    sums[pitman_yor.CONTEXTS :] = table.sum(), known, 1, 0, 1, 0
+    got = np.zeros(table.size)
+    for seed in range(40):
+        model = pitman_yor.Model(sums)
+        model.low = low
+        model.high = high
+        for _ in range(12):
+            model.sweeps.append(model.sums(word, context, table.ravel(), words, seed))
+        got += 10 ** model.log_probabilities(word, context, table.ravel(), words, seed) / 40
+
+    rng = random.Random(1)
+    uniform = 1 / (known + 1)
+    root = [[] for _ in range(words)]  # customers of each table of a dish
+    rooms = [[[] for _ in range(words)] for _ in range(contexts)]
+
+    def root_p(w):
+        total, tables = sum(map(sum, root)), sum(map(len, root))
+        return (sum(root[w]) - high * len(root[w]) + (1 + high * tables) * uniform) / (1 + total)
+
+    def sit(tables, fresh, discount):
+        place = rng.random() * (fresh + sum(tables) - discount * len(tables))
+        for i, size in enumerate(tables):
+            place -= size - discount
+            if place < 0:
+                tables[i] += 1
+                return False
+        tables.append(1)
+        return True
+
+    def leave(tables):
+        i = rng.choices(range(len(tables)), tables)[0]
+        tables[i] -= 1
+        if tables[i] == 0:
+            del tables[i]
+            return True
+        return False
+
+    def move(u, w, first):
+        if not first and leave(rooms[u][w]):
+            leave(root[w])
+        if sit(rooms[u][w], (1 + low * sum(map(len, rooms[u]))) * root_p(w), low):
+            sit(root[w], (1 + high * sum(map(len, root))) * uniform, high)
+
+    customers = [(u, w) for u in range(contexts) for w in range(words) for _ in range(table[u, w])]
+    for u, w in customers:
+        move(u, w, True)
+    want, rounds = np.zeros((contexts, words)), 0
+    for sweep in range(1500):
+        for u, w in customers:
+            move(u, w, False)
+        if sweep >= 100:
+            rounds += 1
+            for u in range(contexts):
+                for w in range(words):
+                    t = len(rooms[u][w])
+                    want[u, w] += (table[u, w] - low * t + (1 + low * sum(map(len, rooms[u]))) * root_p(w)) / (1 + table[u].sum())
+    assert np.allclose(got, (want / rounds).ravel(), rtol=0.06, atol=0.003)
 
 
 def test_the_same_again(spark):
