@@ -43,13 +43,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
     """``df`` worked out once, written below ``spark.checkpoint.dir`` and read again.
 
     Lineage ends there: a lost executor costs the reading of files that all can reach.
     """
     folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
