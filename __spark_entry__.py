@@ -17,7 +17,7 @@ from tickwell.operators.keys import already_stored, first_by_key, not_stored, re
 from tickwell.operators.validate import accepted, check_lengths, judge, reject_report
 from tickwell.plans import sql
 from tickwell.plans.ingest import ingest
-from tickwell.sources import filters
+from tickwell.sources import buckets, filters
 from tickwell.sources.events import LEGACY_KINDS, clean_payload, legacy_payload, mixed_payload, records_of, ticks_of
 from tickwell.sources.scratch import shared_folder
 from tickwell.sources.table import append_prices, compact_history, create_price_table, drop_merged, read_history, read_rejects, write_history
@@ -197,6 +197,17 @@ def history_filtered(spark, sf_dir):
     return filters.not_stored_by_filter(batch, folder, lambda days: history.filter(F.to_date("timestamp").isin(days)))
 
 
+def history_bucketed(spark, sf_dir):
+    """``history_new`` by bucketed keys, which two batches of the history filled."""
+    batch, history = _split_by_month_half(spark, sf_dir)
+    folder = shared_folder(spark, "keys")
+    name = folder.rsplit("/", 1)[-1].replace("-", "_")
+    buckets.create_keys(spark, name, folder, buckets=16)
+    for n in range(2):
+        buckets.append_bucketed(history.filter(F.col("event_id") % 2 == n), name, "run", n)
+    return buckets.not_stored_by_bucket(batch, name)
+
+
 def history_known(spark, sf_dir):
     return already_stored(*_split_by_month_half(spark, sf_dir))
 
@@ -582,6 +593,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pk_repeats": pk_repeats,
         "history_new": history_new,
         "history_filtered": history_filtered,
+        "history_bucketed": history_bucketed,
         "history_known": history_known,
         "stamp_unique": stamp_unique,
         "ingest_table": ingest_table,
@@ -902,6 +914,9 @@ WITH {_BY_HOUR} SELECT event_id, symbol, price, timestamp FROM numbered WHERE nt
 """,
         "history_filtered": f"""
 WITH {_BY_HOUR} SELECT event_id, symbol, price, timestamp FROM numbered WHERE nth = 1 AND timestamp >= TIMESTAMP '{ASOF}'
+""",
+        "history_bucketed": f"""
+WITH {_BY_HOUR} SELECT event_id, symbol, price, timestamp FROM numbered WHERE nth = 1 AND timestamp >= TIMESTAMP '{ASOF}'
 """,
         "history_known": f"""
 WITH {_BY_HOUR} SELECT event_id, symbol, price, timestamp FROM numbered WHERE nth = 1 AND timestamp < TIMESTAMP '{ASOF}'

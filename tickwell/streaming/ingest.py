@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickwell.functions.clock import moment
 from tickwell.operators.validate import accepted, judge
 from tickwell.plans.ingest import Settled, first_prices, left_over, on_clock, settle_by_arrival
+from tickwell.sources.buckets import append_bucketed, not_stored_by_bucket
 from tickwell.sources.commits import commit_batch, open_run
 from tickwell.sources.filters import add_keys, not_stored_by_filter
 from tickwell.sources.table import read_batch, read_history, write_history, write_rejects
@@ -33,6 +34,7 @@ def start_ingest(
     also: Callable[[DataFrame, int], None] | None = None,
     report: Callable[[Report], None] | None = None,
     filters: str | None = None,
+    buckets: str | None = None,
 ) -> StreamingQuery:
     """Start ingestion of a record stream.
 
@@ -47,12 +49,18 @@ def start_ingest(
 
     With ``filters``, a folder of key filters beside the history, keys that a batch brings
     for the first time are known as such without a look at the history. They must cover
-    it: fill them with ``sources.filters.add_keys`` if the history is older.
+    it: fill them with ``sources.filters.add_keys`` if the history is older. With ``buckets``,
+    a table of ``sources.buckets.create_keys``, repeated keys are found there and the history
+    itself stays unread; the table must cover it likewise. Both need ``clock``.
 
     Each batch is reported to the log and to ``report``, by counts that the tasks which
     write it keep on the way. What arrived is observed as well: a listener finds it under
     ``streaming.report.ARRIVED``.
     """
+    if (filters or buckets) and clock is None:
+        raise ValueError("only rows with a time of their own can repeat a key: name its column as clock")
+    if filters and buckets:
+        raise ValueError("give filters or buckets, not both")
     judging = judge(records.withColumn("_arrived", F.current_timestamp()), legacy=legacy, on_malformed=on_malformed)
     arriving = judging.observe(ARRIVED, *arrivals())
 
@@ -82,13 +90,17 @@ def start_ingest(
                 left = write_rejects(settled.rejects, rejects, run_id, batch_id)
             else:
                 timed = on_clock(judged, clock)
-                if filters is None:
-                    new = first_prices(timed, _on_days_of(timed, stored_on()))
-                else:
+                if filters is not None:
                     new = not_stored_by_filter(first_prices(timed), filters, stored_on)
+                elif buckets is not None:
+                    new = not_stored_by_bucket(first_prices(timed), buckets, run_id, batch_id)
+                else:
+                    new = first_prices(timed, _on_days_of(timed, stored_on()))
                 stored = write_history(new, history, run_id, batch_id)
                 if filters is not None:
                     add_keys(read_batch(spark, history, run_id, batch_id), filters, run_id, batch_id)
+                if buckets is not None:
+                    append_bucketed(read_batch(spark, history, run_id, batch_id), buckets, run_id, batch_id)
                 left = write_rejects(left_over(timed, read_batch(spark, history, run_id, batch_id)), rejects, run_id, batch_id)
             if also is not None:
                 also(read_batch(spark, history, run_id, batch_id), batch_id)
