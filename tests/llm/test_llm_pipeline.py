@@ -10,7 +10,8 @@ import corpus_pipeline
 from llm_tables import clashing, components_of, odd_docs, odd_rows
 from test_llm_exact import digest
 from test_llm_near import plain
-from tickwell.llm import decontaminate
+from tickwell.llm import decontaminate, language
+from tickwell.llm.common import fold
 
 
 def kept_by_force(rows, items):
@@ -61,3 +62,22 @@ def test_every_stage_works_on_its_input(spark, sf_dir):
     docs = odd_docs(spark)
     kept = corpus_pipeline.drop_copies(spark, docs, sf_dir).collect()
     assert len(kept) == len({hashlib.sha256((r[1] or "").lower().encode()).digest() if (r[1] or "").isascii() else digest(r[1]) for r in odd_rows()})
+
+
+def test_run_on_odd_rows_and_empty_tables(spark, scratch):
+    docs = clashing(odd_docs(spark))
+    items = spark.createDataFrame([(1, odd_rows()[-1][1])], "item_id long, text string")
+    for name, own, benchmark in (("odd", docs, items), ("no_items", docs, items.limit(0)), ("empty", docs.limit(0), items)):
+        folder = f"{scratch}/{name}"
+        own.write.parquet(f"{folder}/documents.parquet")
+        benchmark.write.parquet(f"{folder}/benchmark.parquet")
+        found = corpus_pipeline.run(spark, folder).collect()
+        if name == "empty":
+            assert found == []
+            continue
+        named = {r.doc_id for r in language.identified(docs, ~fold(5, 0)).collect()}
+        rows = [r[:2] for r in odd_rows() if r[0] is not None and r[0] in named]
+        want = {r[0] for r in kept_by_force(rows, [tuple(r) for r in benchmark.collect()])}
+        assert {r.doc_id for r in found} == want | {None}
+        assert not {4, 5, 6, 9} & want and (odd_rows()[-1][0] in want) == (name == "no_items")
+        assert all(sum(r.length for r in found if r.doc_id == i) == max(r.doc_tokens for r in found if r.doc_id == i) for i in want)
