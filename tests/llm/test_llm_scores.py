@@ -165,3 +165,41 @@ def test_nothing_to_learn_from(spark):
     found = {r.doc_id: r for r in pitman_yor.scores(docs, F.lit(False)).collect()}
     assert found[1].train_tokens == 0 and found[1].base_score == 0 and found[2].n_tokens == 1
     assert pitman_yor.scores(docs.limit(0), F.lit(True)).count() == 0
+
+
+def of_every_word(rows, seeds=20):
+    """Scores of rows (id, text, learnt), all customers in one place, each preceding word a restaurant; mean over seeds."""
+    each = [TOKENS(r[1].encode()) for r in rows]
+    numbers = {w: i for i, w in enumerate(sorted({t for tokens in each for t in tokens}, key=lambda t: (t != b"\n", t)))}
+    pairs = [[(numbers[u], numbers[w]) for u, w in zip([b"\n", *tokens], tokens)] for tokens in each]  # noqa: B905
+    seen = Counter(p for r, own in zip(rows, pairs, strict=True) if r[2] for p in own)
+    table = np.zeros((len(numbers), len(numbers)), np.int64)
+    for (u, w), n in seen.items():
+        table[u, w] = n
+    context, word = np.divmod(np.arange(table.size), len(numbers))
+    flat, of_word = table.ravel(), table.sum(axis=0)
+    sums = np.r_[table.sum(axis=1), table.sum(), (of_word > 0).sum(), (flat == 1).sum(), (flat == 2).sum(), (of_word == 1).sum(), (of_word == 2).sum()]
+    p = np.zeros(table.size)
+    for seed in range(seeds):
+        model = pitman_yor.Model(sums)
+        for _ in range(pitman_yor.SWEEPS):
+            model.sweeps.append(model.sums(word, context, flat, len(numbers), seed))
+        p += 10 ** model.log_probabilities(word, context, flat, len(numbers), seed) / seeds
+    return {r[0]: sum(math.log10(p[u * len(numbers) + w]) for u, w in own) for r, own in zip(rows, pairs, strict=True)}
+
+
+@pytest.mark.parametrize("sizes", [{}, {"head": 6, "table": 3}, {"head": 40, "table": 2}, {"head": 2, "table": 1}])
+def test_each_preceding_word_has_its_own_restaurant(spark, sizes):
+    """600 words, most of them rare and with one ending, each followed by a word of its own; in the table, dealt as common or as rare ones."""
+    rng = np.random.default_rng(3)
+    names = [f"{i}ab" for i in range(600)]
+    texts = [" ".join(w for i in (600 * rng.random(12) ** 2).astype(int) for w in (names[i], names[(7 * i + 1) % 600], "and")) for _ in range(150)]
+    rows = [(i, text, i % 5 > 0) for i, text in enumerate(texts)] + [(998, "new 3ab 22ab new", False), (999, "", True)]
+    want = of_every_word(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learnt boolean").repartition(3)
+    found = {r.doc_id: r for r in pitman_yor.scores(docs, F.col("learnt"), 900, **sizes).collect()}
+    assert len(found) == len(rows)
+    for i, text, _ in rows:
+        assert abs(found[i].score - want[i]) < 0.02 * abs(want[i]) + 0.15, (i, found[i].score, want[i])
+    base = base_of([r for r in rows], lambda r: not r[2])
+    assert all(found[b[0]].n_known == b[2] and math.isclose(found[b[0]].base_score, b[4]) for b in base)
