@@ -107,8 +107,7 @@ def drop_versions(spark: SparkSession, folder: str, name: str) -> None:
     gone from the folder, so a call costs what has come since the one before.
     """
     last = read_snapshot(spark, folder)
-    listed = _snapshots(spark, folder)
-    named = listed.filter((F.col("version") >= last.version - 1) & (F.col("kind") == "part") & (F.col("name") == name))
+    named = _snapshots(spark, folder).filter((F.col("version") >= last.version - 1) & (F.col("kind") == "part") & (F.col("name") == name))
     keep = {(r.part, r.at) for r in named.select("part", "at").distinct().collect()}
     for path in listed(spark, f"{folder}/{name}/part=*/version=*"):
         part, version = path.split("/")[-2].removeprefix("part="), int(path.split("/")[-1].removeprefix("version="))
