@@ -254,7 +254,12 @@ BATCHES = 4
 ALL_DAYS = date(2100, 1, 1)
 
 
-def _history_in_batches(spark, sf_dir, batches=BATCHES):
+def _settled(spark, sf_dir):
+    """All prices, parsed and settled once, however many batches are written of them."""
+    return kept(ingest(_by_minute(spark, sf_dir), "timestamp").prices)
+
+
+def _history_in_batches(spark, prices, batches=BATCHES):
     folder = shared_folder(spark, "history")
     _write_batches(spark, sf_dir, folder, [*range(batches), 0])
     return folder
@@ -419,14 +424,14 @@ def _run_ingest(spark, sf_dir, clock):
 def stream_ingest(spark, sf_dir):
     """Arrival stamps differ from run to run; that they tell a symbol's prices apart does not."""
     folder = _run_ingest(spark, sf_dir, None)
-    prices = read_history(spark, f"{folder}/history")
-    kept = prices.groupBy("symbol").agg(
+    # A file holds millions of rows, a task's share of distinct keys should not.
+    prices = read_history(spark, f"{folder}/history").hint("rebalance")
+    return prices.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_ticks"),
         F.countDistinct("timestamp").alias("n_stamps"),
         F.round(F.sum("price"), 4).alias("sum_price"),
         F.countDistinct("partition", "offset").alias("n_messages"),
     )
-    return kept
 
 
 def stream_ingest_keyed(spark, sf_dir):

@@ -138,3 +138,23 @@ def test_database_ranges_hold_every_row_once(spark):
     parts = [rows.filter(p).count() for p in time_predicates(bounds)]
     assert parts == [3, 2, 3, 2] and time_predicates([]) == ["1 = 1"]
     assert sum(rows.filter(p).count() for p in time_predicates(bounds[:1])) == 10
+
+
+def test_a_large_day_goes_to_several_tasks(spark, scratch):
+    """A task sorts a piece of a batch, not millions of rows of its one day; the setting stays as it was."""
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    rows = spark.range(0, 2_000_000, 1, 8).select(
+        F.concat(F.lit("S"), F.col("id") % 1000).alias("symbol"),
+        F.rand(1).alias("price"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.rand(2) * 80_000)).alias("timestamp"),
+        F.lit("A").alias("company"),
+        F.lit("NASDAQ").alias("market"),
+        F.lit("t").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("id").alias("offset"),
+    )
+    assert write_history(rows, f"{scratch}/history", "run", 0) == 2_000_000
+    stored = read_history(spark, f"{scratch}/history")
+    assert len(stored.inputFiles()) > 1
+    assert stored.agg(F.count_distinct("offset")).first()[0] == 2_000_000
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) == before

@@ -13,7 +13,7 @@ from tickwell.operators.keys import first_by_key, not_stored
 from tickwell.schema import LINEAGE, PRICE_COLUMNS, PRICE_KEY, REASONS, REJECT_COLUMNS, TABLE, price_columns_ddl
 from tickwell.sources.commits import committed, log_of
 from tickwell.sources.files import delete, if_there, listed
-from tickwell.sources.scratch import kept
+from tickwell.sources.scratch import in_pieces, kept
 
 # --- catalog table --------------------------------------------------------
 
@@ -76,15 +76,16 @@ def _write_batch(df: DataFrame, path: str, run_id: str, batch_id: int, lead: lis
     """Write a batch; ``counts`` are worked out on the way, by the tasks that write."""
     folders = [*lead, "run_id", "batch_id"]
     seen = Observation()
-    (
-        df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
-        .observe(seen, *[c.alias(name) for name, c in counts.items()])
-        .sortWithinPartitions(*folders, *sort)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*folders)
-        .parquet(path)
-    )
+    with in_pieces(df.sparkSession):
+        (
+            df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
+            .observe(seen, *[c.alias(name) for name, c in counts.items()])
+            .sortWithinPartitions(*folders, *sort)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*folders)
+            .parquet(path)
+        )
     found = seen.get
     return {name: found.get(name, 0) for name in counts}
 
@@ -135,7 +136,8 @@ def compact_history(spark: SparkSession, path: str, before: date) -> None:
     batches = kept(open_.select(*BATCH).distinct())
     rows = open_.join(batches, BATCH, "left_semi").withColumn("merge_id", F.lit(merge_id))
     sorted_ = rows.hint("rebalance", "date").sortWithinPartitions("date", "symbol", "timestamp")
-    sorted_.write.mode("append").partitionBy("merge_id", "date").parquet(f"{path}/_merged")
+    with in_pieces(spark):
+        sorted_.write.mode("append").partitionBy("merge_id", "date").parquet(f"{path}/_merged")
     number = _last_list(spark, path) + 1
     now = _merged_batches(spark, path).unionByName(_in_ranges(batches).withColumn("merge_id", F.lit(merge_id)))
     # One file: readers see the list before the merge or the one after it.
