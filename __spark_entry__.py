@@ -19,7 +19,7 @@ from tickwell.plans import sql
 from tickwell.plans.ingest import ingest
 from tickwell.sources import buckets, filters
 from tickwell.sources.events import LEGACY_KINDS, clean_payload, legacy_payload, mixed_payload, records_of, ticks_of
-from tickwell.sources.scratch import shared_folder
+from tickwell.sources.scratch import kept, shared_folder
 from tickwell.sources.table import append_prices, compact_history, create_price_table, drop_merged, read_history, read_rejects, write_history
 from tickwell.sources.topic import append_topic, follow_topic, read_topic, scan_topic
 from tickwell.streaming import live
@@ -235,17 +235,18 @@ def ingest_rejects(spark, sf_dir):
 
 def history_replay(spark, sf_dir):
     """Batches of the history, all written a second time, as after a failure."""
-    folder = _history_in_batches(spark, sf_dir)
+    folder = _history_in_batches(spark, _settled(spark, sf_dir))
     return read_history(spark, folder).drop("date", "run_id", "batch_id")
 
 
 def history_compact(spark, sf_dir):
     """The history merged once, a merged batch replayed, folders dropped, a late batch merged as well."""
-    folder = _history_in_batches(spark, sf_dir, BATCHES - 1)
+    prices = _settled(spark, sf_dir)
+    folder = _history_in_batches(spark, prices, BATCHES - 1)
     compact_history(spark, folder, ALL_DAYS)
-    _write_batches(spark, sf_dir, folder, [1])
+    _write_batches(prices, folder, [1])
     drop_merged(spark, folder)
-    _write_batches(spark, sf_dir, folder, [1, BATCHES - 1])
+    _write_batches(prices, folder, [1, BATCHES - 1])
     compact_history(spark, folder, ALL_DAYS)
     return read_history(spark, folder).drop("date", "run_id", "batch_id")
 
@@ -261,12 +262,11 @@ def _settled(spark, sf_dir):
 
 def _history_in_batches(spark, prices, batches=BATCHES):
     folder = shared_folder(spark, "history")
-    _write_batches(spark, sf_dir, folder, [*range(batches), 0])
+    _write_batches(prices, folder, [*range(batches), 0])
     return folder
 
 
-def _write_batches(spark, sf_dir, folder, numbers):
-    prices = ingest(_by_minute(spark, sf_dir), "timestamp").prices
+def _write_batches(prices, folder, numbers):
     for n in numbers:
         write_history(prices.filter(F.col("offset") % BATCHES == n), folder, "run", n)
 

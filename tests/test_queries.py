@@ -60,3 +60,13 @@ def test_query(spark, sf_dir, duck, name):
 
 def test_entry(spark):
     assert registered.entry(spark).columns[0] == "symbol"
+
+
+@pytest.mark.parametrize("name, batches", [("history_compact", 7), ("history_replay", 5)])
+def test_a_topic_is_parsed_once_for_all_its_batches(spark, sf_dir, monkeypatch, name, batches):
+    parsed, written = [], []
+    ingest, write = registered.ingest, registered.write_history
+    monkeypatch.setattr(registered, "ingest", lambda *args: parsed.append(1) or ingest(*args))
+    monkeypatch.setattr(registered, "write_history", lambda *args: written.append(args[-1]) or write(*args))
+    registered.queries()[name](spark, sf_dir)
+    assert len(parsed) == 1 and len(written) == batches
