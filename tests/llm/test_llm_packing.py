@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -72,6 +73,27 @@ def test_words_give_the_texts_ids(library, text):
     assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_a_pre_token_is_worked_out_once(library):
+    """Also where many different words hold it."""
+    asked = []
+
+    class Counted(packing.WordIds):
+        def __missing__(self, part):
+            asked.append(part)
+            return super().__missing__(part)
+
+    stems = ["upon", "their", "größe", "x" * 9, "1999"]
+    texts = [f"{a} {b}.\n{a}, {a}-{b}{c} {c}?!" for a in stems for b in stems for c in stems]
+    found = Counted(PATH).of(texts)
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) == len(set(asked)) < 40
+
+
+def test_texts_of_small_batches_are_looked_up_together():
+    batches = [pa.RecordBatch.from_pydict({"doc_id": pa.array([i, None], pa.int64()), "text": pa.array([None, "a"], pa.string())}) for i in range(3)]
+    assert list(packing.together(iter(batches))) == [([0, None, 1, None, 2, None], ["", "a"] * 3)]
+
+
 def test_little_padding(spark, sf_dir):
     packed = packing.pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), packing.byte_bpe(PATH))
     used = [r.used for r in packed.groupBy("sequence_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "used").collect()]
